@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from veilframe.llm import tiff, token_counts, token_store, trie_bpe
+from veilframe.llm import dart_minhash, mixing, pii, spotsigs, tiff, token_counts, token_store, toxicity, trie_bpe, url_trust
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op2_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_trust.judge(table(spark, sf_dir, "pages"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edits(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -32,8 +52,12 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_token_counts, op7_tiff, op8_trie_bpe, op9_token_store)}
+    return {f.__name__: f for f in (op1_pii, op2_url_trust, op3_token_counts, op4_toxicity, op5_mixing, op6_spotsigs, op7_tiff, op8_trie_bpe, op9_token_store, op10_dart_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
