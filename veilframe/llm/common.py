@@ -30,6 +30,17 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Rows of an Arrow batch: texts are long, and a batch is held several times over, by Spark and by Python.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Makes the session's Arrow batches small enough for long texts, unless it has a smaller size already."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 class Scratch:
     """Tables that one run of an operator writes to the shared folder to cut its lineage.
 

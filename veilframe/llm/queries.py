@@ -8,11 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from veilframe.llm import dart_minhash, mixing, pii, spotsigs, tiff, token_counts, token_store, toxicity, trie_bpe, url_trust
+from veilframe.llm.common import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table; sets the session's Arrow batches to a size for texts."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
