@@ -187,6 +187,7 @@ def count(df: DataFrame, tokenizer: str, limit: int = 1024, doc_id: str = "doc_i
                 keys.append(key), ids.append(i), sizes.append(len(t.encode())), words.append(f"\0{key} "), freqs.append(0), sums.append(n)
             data = [pa.array(keys, pa.int64()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(words, pa.string()), pa.array(freqs, pa.int64()), pa.array(sums, pa.int64())]
             yield from pa.Table.from_arrays(data, names=["key", "doc_id", "n_bytes", "pretoken", "freq", "n"]).to_batches(max_chunksize=50_000)
+        own.cost, own.rare = {}, {}
 
     rare = words.filter(F.col("n") <= max(total / HOT, 100)).select("pretoken", "pieces")
     rows = docs.mapInArrow(run, "key long, doc_id long, n_bytes long, pretoken string, freq long, n long")

@@ -27,9 +27,9 @@ from tokenizers import Tokenizer
 from veilframe.llm.common import blocks, text_of
 
 #: Words whose encodings a worker keeps from one block to the next; beyond that it starts afresh.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 #: Token pairs whose verdict a worker keeps.
-CACHE_PAIRS = 2_000_000
+CACHE_PAIRS = 400_000
 #: Separators by str.split() that the tokenizers' pattern \s doesn't know.
 NOT_SPACE = re.compile("[\x1c-\x1f]")
 PUNCTUATION = frozenset(string.punctuation)
@@ -207,6 +207,9 @@ class TrieEncoder:
             self.ids[p] = b"".join([coded[w][0] for w in ws])
             self.text[p] = " ".join([coded[w][1] for w in ws])
 
+    def forget(self) -> None:
+        self.ids, self.text = {}, {}
+
     def pieces(self, text: str) -> list[str | int]:
         """Pieces between white space, and special tokens as their ids."""
         parts: list[str | int] = [text]
@@ -282,12 +285,13 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text", keep: list[str] |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
-        for table in blocks(batches, "__text", 8_000_000):
+        for table in blocks(batches, "__text", 4_000_000):
             got = list(own.encode(table.column("__text").to_pylist()))
             data = [table.column(c).combine_chunks() for c in cols] + [pa.array([x for x, _ in got], pa.binary())]
             if decoded:
                 data.append(pa.array([x for _, x in got], pa.string()))
             yield from pa.Table.from_arrays(data, names=[*cols, ids, *([decoded] if decoded else [])]).to_batches(max_chunksize=2000)
+        own.forget()  # a worker process lives on, and may do other work next
 
     return source.mapInArrow(run, schema)
 
