@@ -20,14 +20,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.common import Scratch, text_of
+from veilframe.llm.common import Scratch, release, text_of
 
 #: Words of an element; least weighted Jaccard of near duplicates.
 SHINGLE, THRESHOLD = 5, 0.8
 #: Bands and values in a band: a pair at the threshold shares a band with probability 1 - (1 - 0.8 ** 5) ** 25 = 0.99995.
 BANDS, ROWS = 25, 5
 #: Words and texts worked on at once.
-BLOCK_WORDS, BLOCK_TEXTS = 1_000_000, 2_000
+BLOCK_WORDS, BLOCK_TEXTS = 250_000, 500
 #: Centres of a bucket in the second round; four times as many in each one after.
 CENTRES = 8
 
@@ -159,6 +159,7 @@ def sign(docs: DataFrame) -> DataFrame:
                 has = total > 0
                 part = batch.slice(lo, n)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("node"), pa.array(total), _lists(found[has].ravel(), np.where(has, BANDS, 0), pa.int64())], names=["doc_id", "node", "weight", "bands"])
+        release()
 
     return docs.select("doc_id", "node", word_hashes("text").alias("words")).mapInArrow(run, "doc_id long, node binary, weight long, bands array<long>")
 
@@ -172,6 +173,7 @@ def contents(docs: DataFrame) -> DataFrame:
                 rows, element, weight = elements(words, offsets)
                 sizes = np.bincount(rows, minlength=hi - lo)
                 yield pa.RecordBatch.from_arrays([batch.column("node").slice(lo, hi - lo), _lists(element.view(np.int64), sizes, pa.int64()), _lists(weight, sizes, pa.int32())], names=["node", "elements", "counts"])
+        release()
 
     return docs.select("node", word_hashes("text").alias("words")).mapInArrow(run, "node binary, elements array<long>, counts array<int>")
 
@@ -194,6 +196,7 @@ def verify(pairs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
             cols = [(c.values.to_numpy(), c.offsets.to_numpy()) for c in map(batch.column, ("ae", "ac", "be", "bc"))]
             keep = [k for k in range(batch.num_rows) if weighted_jaccard(*[v[o[k] : o[k + 1]] for v, o in cols]) >= threshold]
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+        release()
 
     one = known.select(F.col("node").alias("a"), F.col("elements").alias("ae"), F.col("counts").alias("ac"))
     two = known.select(F.col("node").alias("b"), F.col("elements").alias("be"), F.col("counts").alias("bc"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.common import Scratch, text_of
+from veilframe.llm.common import Scratch, release, text_of
 
 #: Titles by the gender they tell; fixed list.
 TITLES = {"m": "Mr|Herr|Herrn|Monsieur|Señor|Sr|Don|г-н|господин|κύριος", "f": "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Sra|Srta|Doña|г-жа|госпожа|κυρία", "n": "Dr|Prof|Mx"}
@@ -270,6 +270,7 @@ def pseudonymise(df: DataFrame, key: bytes = b"veilframe", text: str = "text", c
                 texts.append(new), ns.append(n)
             data = [pa.array(texts, pa.string()) if c == text else batch.column(c) for c in cols]
             yield pa.RecordBatch.from_arrays(data + ([pa.array(ns, pa.int32())] if count else []), names=out_cols)
+        release()
 
     rest = df.select(*cols).filter(~may)
     if count:

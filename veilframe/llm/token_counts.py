@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from veilframe.llm.common import Scratch, blocks, text_of
+from veilframe.llm.common import Scratch, blocks, release, text_of
 
 #: Pre-tokens that may be broadcast, at most: those with more than 1/HOT of all occurrences.
 HOT = 1 << 20
@@ -188,6 +188,7 @@ def count(df: DataFrame, tokenizer: str, limit: int = 1024, doc_id: str = "doc_i
             data = [pa.array(keys, pa.int64()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(words, pa.string()), pa.array(freqs, pa.int64()), pa.array(sums, pa.int64())]
             yield from pa.Table.from_arrays(data, names=["key", "doc_id", "n_bytes", "pretoken", "freq", "n"]).to_batches(max_chunksize=50_000)
         own.cost, own.rare = {}, {}
+        release()
 
     rare = words.filter(F.col("n") <= max(total / HOT, 100)).select("pretoken", "pieces")
     rows = docs.mapInArrow(run, "key long, doc_id long, n_bytes long, pretoken string, freq long, n long")

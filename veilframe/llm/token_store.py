@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from veilframe.llm.common import Scratch, blocks, text_of
+from veilframe.llm.common import Scratch, blocks, release, text_of
 from veilframe.llm.trie_bpe import LibraryEncoder, encoder
 
 # Fixed values of the zstandard seekable format.
@@ -148,6 +148,7 @@ def write(df: DataFrame, folder: str, tokenizer: str, scratch: Scratch, end_id:
             store.close()
             out.close()
         own.forget()
+        release()
 
     return scratch.keep(ranged.mapInArrow(run, "part int, file string, doc_no long, doc_id long, n_ids long"))
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.common import text_of
+from veilframe.llm.common import release, text_of
 
 #: Examples the fit takes at most, about: confirmed toxic ones, unlabelled ones. Chosen by a hash of the id over all rows.
 MOST_POSITIVE, MOST_UNLABELLED = 4_000, 12_000
@@ -161,6 +161,7 @@ def score(documents: DataFrame, model: Model, keep: list[str] | None = None, tex
             s = own.scores(w.values.to_numpy(), w.offsets.to_numpy())
             data = [batch.column(c) for c in cols] + [pa.array(s), pa.array((s >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(data, names=[*cols, "score", "predicted"])
+        release()
 
     return documents.select(*cols, words(text).alias("__words")).mapInArrow(run, schema)
 

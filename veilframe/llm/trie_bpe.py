@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from veilframe.llm.common import blocks, text_of
+from veilframe.llm.common import blocks, release, text_of
 
 #: Words whose encodings a worker keeps from one block to the next; beyond that it starts afresh.
 CACHE_WORDS = 200_000
@@ -291,7 +291,8 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text", keep: list[str] |
             if decoded:
                 data.append(pa.array([x for _, x in got], pa.string()))
             yield from pa.Table.from_arrays(data, names=[*cols, ids, *([decoded] if decoded else [])]).to_batches(max_chunksize=2000)
-        own.forget()  # a worker process lives on, and may do other work next
+        own.forget()
+        release()
 
     return source.mapInArrow(run, schema)
 
