@@ -86,8 +86,6 @@ def test_manifest_order_of_steps(spark):
         df.select(manifest.page_number(F.col("object_name"), strict=True)).collect()
     nth = manifest.nth_file(spark.createDataFrame([("p_2.png",), ("p_10.png",)], "path string"), spark.createDataFrame([(1,), (2,), (3,)], "page_no long"))
     assert {r.page_no: r.path for r in nth.collect()} == {1: "p_2.png", 2: "p_10.png", 3: None}
-    again = manifest.prepare(manifest.prepare(df).select("subject_id", "object_name").union(df.limit(0)))
-    assert again.count() == 2 or True
 
 
 def test_ledger_edges(spark):
@@ -197,7 +195,7 @@ def test_listing_and_csv(spark, tmp_path):
     for n in ("a.pdf", "b.tif.pdf", "c.txt", "sub/d.pdf"):
         p = tmp_path / "f" / n
         p.parent.mkdir(parents=True, exist_ok=True)
-        p.write_bytes(b"")
+        p.write_bytes(b"x")
     names = lambda d: [r.path.rsplit("/", 1)[1] for r in d.collect()]
     root = str(tmp_path / "f")
     assert names(files.list_files(spark, root, "pdf")) == ["a.pdf", "b.tif.pdf"]
@@ -210,18 +208,11 @@ def test_listing_and_csv(spark, tmp_path):
 def test_stream_of_ledgers(spark, tmp_path):
     src, out, chk = (str(tmp_path / n) for n in ("in", "out", "chk"))
     df = spark.createDataFrame([("a", "success"), ("b", "failed")], "subject_id string, status string")
-    files.write_ledger(df, src, "1")
-    for n in (2, 2, 4):
+    for batch, n in (("1", 2), (None, 2), ("2", 4)):
+        if batch:
+            files.write_ledger(df, src, batch)
         stream.follow(spark, src, "subject_id string, status string", out, chk).awaitTermination()
         assert spark.read.parquet(out).count() == n
-        if n == 2 and spark.read.parquet(src).count() == 2:
-            pass
-        if len(list((tmp_path / "in").glob("*.parquet"))) < 3 and n == 2 and not (tmp_path / "second").exists():
-            (tmp_path / "second").touch()
-            continue
-        if not (tmp_path / "third").exists():
-            (tmp_path / "third").touch()
-            files.write_ledger(df, src, "2")
     m = spark.createDataFrame([("a",), ("b",), ("c",)], "subject_id string")
     assert sorted(r.subject_id for r in stream.remaining(m, spark.read.parquet(out)).collect()) == ["b", "c"]
 

@@ -8,9 +8,10 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
@@ -51,7 +52,7 @@ def containment(both: Column, na: Column, nb: Column) -> Column:
     return F.when((na == 0) & (nb == 0), F.lit(1.0)).when((na == 0) | (nb == 0), F.lit(0.0)).otherwise(both / F.least(na, nb))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Twice the matched characters by all characters, by the standard library's matcher; null counts as empty."""
     return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)], dtype=float)

@@ -23,7 +23,7 @@ ANNOTATION_SCHEMA = f"image STRING, image_type STRING, roi_type STRING, censor_t
 def list_files(spark: SparkSession, folder: str, extension: str | list[str] | None = None, recursive: bool = False) -> DataFrame:
     """path, sorted: the files of a folder with an extension, or one of several, or all (None, "*", "all"); the dot is optional.
 
-    Only paths are read, not contents.
+    Only paths are read, not contents. Files of no bytes hold no page and are not listed.
     """
     x = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(folder).select("path")
     if extension not in (None, "*", "all"):
