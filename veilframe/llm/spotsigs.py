@@ -38,9 +38,10 @@ def signatures(w: Column, anchors: tuple[str, ...] = tuple(sorted(set(ANCHORS)))
 
     def at(x: Column, i: Column) -> Column:
         follow = F.slice(F.filter(F.slice(w, i + 2, F.lit(reach)), lambda y: ~common(y)), 1, chain)
-        return F.when(common(x) & (F.size(follow) == chain), F.xxhash64(x, follow))
+        return F.when(common(x), F.concat(F.array(x), follow))
 
-    found = F.array_sort(F.array_distinct(F.filter(F.transform(w, at), lambda s: s.isNotNull())))
+    chains = F.filter(F.transform(w, at), lambda c: F.size(c) == chain + 1)
+    found = F.array_sort(F.array_distinct(F.transform(chains, lambda c: F.xxhash64(c))))
     return F.when(F.size(found) > 0, found).when(F.size(w) > 0, F.array(F.xxhash64(w))).otherwise(F.array().cast("array<bigint>"))
 
 
