@@ -66,16 +66,17 @@ def test_ranks_and_verdicts_follow_links(spark):
 
 
 def test_toxicity_finds_held_out(spark):
-    got = queries.op4_toxicity(spark, SF).toPandas()
-    labels = spark.read.parquet(f"{SF}/labels.parquet").toPandas()
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    sf = "/root/testdata/sf0.1"  # enough examples of each language
+    got = queries.op4_toxicity(spark, sf).toPandas()
+    labels = spark.read.parquet(f"{sf}/labels.parquet").toPandas()
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
     assert len(got) == docs.count()
     assert (got["held_out"] == got["doc_id"].map(lambda i: zlib.crc32(str(i).encode()) % 5 == 0)).all()
     assert got["score"].between(0, 1).all() and ((got["score"] >= 0.5) == (got["predicted"] == 1)).all()
     x = got[got["held_out"]].merge(labels, on="doc_id")
-    assert ((x["predicted"] == 1) == (x["toxic"] == 1)).mean() > 0.93
+    assert ((x["predicted"] == 1) == (x["toxic"] == 1)).mean() > 0.98
     clean = x[x["toxic"] == 0]
-    assert clean["predicted"].mean() < 0.02
+    assert clean["predicted"].mean() < 0.01 and x[x["toxic"] == 1]["predicted"].mean() > 0.9
 
 
 def test_toxicity_edges(spark):
@@ -129,11 +130,11 @@ def test_mixing_meets_targets(spark):
         sizes[s] = sizes.get(s, 0) + n
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     goal = water(sizes, {s: (3, 1, 2)[k % 3] for k, s in enumerate(names)})
-    by = {r.doc_id: r for r in got.itertuples()}
+    by = {r.doc_id: r for r in got.rename(columns={"size": "n_words"}).itertuples()}
     sums = dict.fromkeys(sizes, 0)
     for i, n, s in rows:
         r = by[i]
-        assert (r.size, r.source_size) == (n, sizes[s]) if False else (by[i]._asdict()["size"], r.source_size) == (n, sizes[s])
+        assert (r.n_words, r.source_size) == (n, sizes[s])
         assert r.target == pytest.approx(goal[s]) and r.taken <= 2 * n and (n == 0 or r.taken % n == 0)
         sums[s] += r.taken
     for s in sizes:
@@ -179,7 +180,7 @@ def sigs(text):
             follow = [y for y in w[i + 1 : i + 1 + spotsigs.REACH] if y not in common][: spotsigs.CHAIN]
             if len(follow) == spotsigs.CHAIN:
                 out.add((x, *follow))
-    return out or ({tuple(w)} if w else set())
+    return out or {(x,) for x in w}
 
 
 def likeness(a, b):

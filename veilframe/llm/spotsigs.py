@@ -32,7 +32,7 @@ def words(text: Column) -> Column:
 def signatures(w: Column, anchors: tuple[str, ...] = tuple(sorted(set(ANCHORS))), chain: int = CHAIN, reach: int = REACH) -> Column:
     """The set of a word array's signatures as sorted 64-bit hashes.
 
-    A text without any full chain has one signature, the hash of all its words, if it has words at all.
+    A text without any full chain has its distinct words as signatures, so that short or odd texts compare too.
     """
     common = lambda x: x.isin(*anchors)
 
@@ -42,7 +42,7 @@ def signatures(w: Column, anchors: tuple[str, ...] = tuple(sorted(set(ANCHORS)))
 
     chains = F.filter(F.transform(w, at), lambda c: F.size(c) == chain + 1)
     found = F.array_sort(F.array_distinct(F.transform(chains, lambda c: F.xxhash64(c))))
-    return F.when(F.size(found) > 0, found).when(F.size(w) > 0, F.array(F.xxhash64(w))).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(found) > 0, found).otherwise(F.array_sort(F.array_distinct(F.transform(w, lambda x: F.xxhash64(x)))))
 
 
 def text_form(sigs: Column) -> Column:
