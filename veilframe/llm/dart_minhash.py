@@ -203,15 +203,22 @@ def verify(pairs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "ae", "ac", "be", "bc").mapInArrow(run, "a binary, b binary")
 
 
+def fitted(rows: int, each: int = 100_000):
+    """Joins the partitions of a small result to as many as its rows are worth; no more tasks than that, where a session has
+    thousands of shuffle partitions. Has no effect on large ones."""
+    return lambda df: df.coalesce(max(1, -(-rows // each)))
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """node, label: the least node of each node's component; by minima of neighbours and of labels' labels, until none changes."""
     both = scratch.keep(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = scratch.keep(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("label")))
+    fit = fitted(both.count())
+    labels = scratch.keep(fit(both.groupBy("a").agg(F.min("b").alias("b"))).select(F.col("a").alias("node"), F.least("a", "b").alias("label")))
     while True:
-        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
-        lower = labels.join(near, labels["node"] == near["a"]).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        near = fit(fit(both.join(labels, both["b"] == labels["node"])).groupBy("a").agg(F.min("label").alias("near")))
+        lower = fit(labels.join(near, labels["node"] == near["a"])).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         jump = labels.select(F.col("node").alias("n"), F.col("label").alias("further"))
-        new = scratch.keep(lower.join(jump, lower["label"] == jump["n"], "left").select("node", F.least("label", F.coalesce("further", "label")).alias("label"), "old"))
+        new = scratch.keep(fit(lower.join(jump, lower["label"] == jump["n"], "left")).select("node", F.least("label", F.coalesce("further", "label")).alias("label"), "old"))
         changed = not new.filter("label != old").isEmpty()
         scratch.drop(labels)
         labels = new
@@ -259,21 +266,22 @@ def _labels(docs: DataFrame, signed: DataFrame, threshold: float, scratch: Scrat
     seen = scratch.keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     edges = scratch.keep(verify(seen, known, threshold))
     labels, most = components(edges, scratch), CENTRES
-    bound = None
+    bound, left = None, members.select("band", "node", "weight")
     while True:
-        x = members.select("band", "node", "weight").join(labels.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select("band", "node", "weight", F.coalesce("label", "node").alias("label"))
-        open_ = x.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("band")
-        x = x.join(open_, "band")
+        fit = fitted(left.count())
+        x = fit(left.join(labels.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")).select("band", "node", "weight", F.coalesce("label", "node").alias("label"))
+        x = scratch.keep(x.join(still_open(x, fit).select("band"), "band"))
+        fit = fitted(x.count())
         if bound is None:  # weight that some other of these texts could share
-            inside = known.join(x.select("node").distinct(), "node").select("node", F.explode(F.arrays_zip("elements", "counts")).alias("e")).select("node", F.col("e.elements").alias("element"), F.col("e.counts").alias("n"))
+            inside = known.join(fit(x.select("node").distinct()), "node").select("node", F.explode(F.arrays_zip("elements", "counts")).alias("e")).select("node", F.col("e.elements").alias("element"), F.col("e.counts").alias("n"))
             common = inside.groupBy("element").agg(F.count("*").alias("df")).filter("df > 1").select("element")
             bound = scratch.keep(inside.join(common, "element").groupBy("node").agg(F.sum("n").alias("most")))
-        x = x.join(bound, "node").filter(F.col("most") >= F.lit(threshold - 1e-9) * F.col("weight"))
-        sizes = x.groupBy("band").agg(F.count("*").alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("band", "size")
-        x = scratch.keep(x.join(sizes, "band"))
+        x = fit(x.join(bound, "node")).filter(F.col("most") >= F.lit(threshold - 1e-9) * F.col("weight"))
+        x = scratch.keep(fit(x.join(still_open(x, fit), "band")))
         largest = x.agg(F.max("size")).first()[0]
         if largest is None:
             return labels
+        left = x.select("band", "node", "weight")
         pick = F.pmod(F.xxhash64("band", "node"), F.lit(1 << 30)) < F.lit(float(most << 30)) / F.col("size")
         a = x.select("band", F.col("node").alias("a"), F.col("weight").alias("aw"), F.col("label").alias("al"), F.col("most").alias("am"))
         b = x.filter(pick).select(F.col("band").alias("band2"), F.col("node").alias("b"), F.col("weight").alias("bw"), F.col("label").alias("bl"), F.col("most").alias("bm"))
@@ -289,6 +297,11 @@ def _labels(docs: DataFrame, signed: DataFrame, threshold: float, scratch: Scrat
         seen, most = scratch.keep(seen.unionByName(new)), most * 4
 
 
+def still_open(x: DataFrame, fit) -> DataFrame:
+    """band, size: buckets whose members have several labels."""
+    return fit(x.groupBy("band").agg(F.count("*").alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi"))).filter("lo != hi").select("band", "size")
+
+
 def near_duplicates(df: DataFrame) -> DataFrame:
     """doc_id, class_id: one row for each document."""
     return cluster(df).select("doc_id", "class_id")
