@@ -118,7 +118,7 @@ def water(sizes, weights, share=1.5, most=2.0):
 
 def test_mixing_meets_targets(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "source").toPandas()
-    extra = [(900_001, None, "src0"), (900_002, "", None), (900_003, "a b c", None), (900_004, "a\x0bb\u00a0c d", ""), (900_005, "one", "z\U0001f600"), (900_006, "one two", "z\uffee")]
+    extra = [(2**62 + 1, "x y", "src0"), (900_001, None, "src0"), (900_002, "", None), (900_003, "a b c", None), (900_004, "a\x0bb\u00a0c d", ""), (900_005, "one", "z\U0001f600"), (900_006, "one two", "z\uffee")]
     df = spark.createDataFrame([*map(tuple, docs.itertuples(index=False)), *extra], "doc_id long, text string, source string")
     got = mixing.taken(df).toPandas()
     again = mixing.taken(df.repartition(5, "text")).toPandas()
@@ -140,6 +140,8 @@ def test_mixing_meets_targets(spark):
     for s in sizes:
         assert abs(sums[s] - goal[s]) <= max(n for _, n, t in rows if t == s)
     assert mixing.taken(df.limit(0)).count() == 0
+    null_ids = spark.createDataFrame([(None, "a b", "s"), (None, "c", "s"), (2**62 + 1, "d e f", "s")], "doc_id long, text string, source string")
+    assert sorted(str(r.doc_id) for r in mixing.taken(null_ids).collect()) == ["4611686018427387905", "None", "None"]
 
 
 def test_tree_of_several_levels(spark, monkeypatch):

@@ -58,17 +58,12 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, tag: str):
         self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}", 0
-        self.paths: dict[int, str] = {}
-
-    def path(self) -> str:
-        self.n += 1
-        return f"{self.root}/{self.n}"
 
     def keep(self, df: DataFrame) -> DataFrame:
-        path = self.path()
+        self.n += 1
+        path = f"{self.root}/{self.n}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
         out._scratch_path = path
         return out
 

@@ -91,7 +91,7 @@ def pivot(mass: list[float], part: list[float], seed: str) -> list[float]:
 
 def _level(units: DataFrame, fan: int, seed: int, last: bool) -> DataFrame:
     """One level of the tree over source, block, u (order within the source), mass, part, with the key columns of `units`."""
-    schema = units.select("*").schema
+    schema = units.schema
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["u", "id", "key"], kind="stable", na_position="first")
@@ -116,12 +116,10 @@ def decide(units: DataFrame, scratch: Scratch, seed: int = 0) -> DataFrame:
     """
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     u = F.xxhash64(F.lit(seed), F.col("id"), F.col("key"))
-    own = Window.partitionBy("source")
     counted = units.groupBy("source").agg(F.count("*").alias("units"))
     x = units.join(counted.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     blocks = F.ceil(F.col("units") / LEAF)
-    x = x.select("source", F.pmod(u, blocks).cast("long").alias("block"), u.alias("u"), "id", "key", F.floor(rate).cast("long").alias("whole"), (F.col("rows") * F.col("size")).cast("double").alias("mass"), (rate - F.floor(rate)).alias("part"))
-    del own
+    x = x.select("source", F.pmod(u, blocks).cast("long").alias("block"), u.alias("u"), F.col("id").cast("string").alias("id"), "key", F.floor(rate).cast("long").alias("whole"), (F.col("rows") * F.col("size")).cast("double").alias("mass"), (rate - F.floor(rate)).alias("part"))
     most = counted.agg(F.max("units")).first()[0] or 0
     width, done, level = max(1, -(-most // LEAF)), [], 0
     while True:
@@ -136,7 +134,8 @@ def decide(units: DataFrame, scratch: Scratch, seed: int = 0) -> DataFrame:
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out.select("source", "id", "key", (F.col("whole") + F.round("part").cast("long")).alias("copies"))
+    # ids went through pandas as texts, which keep nulls and all digits
+    return out.select("source", F.col("id").cast("long").alias("id"), "key", (F.col("whole") + F.round("part").cast("long")).alias("copies"))
 
 
 def mix(df: DataFrame, scratch: Scratch, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0, seed: int = 0, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
