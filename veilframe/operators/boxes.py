@@ -269,9 +269,8 @@ def fit_similarity(points: Column, selection: str = "top_left") -> Column:
     turn = F.degrees(F.atan2(ex, ey) - F.atan2(dx, dy))
     turn = turn - 180 * F.round(turn / 180)  # as slopes, not directions
     fit = lambda s, x, y, t, rx, ry: F.struct(s.alias("scale"), x.alias("shift_x"), y.alias("shift_y"), t.alias("degrees"), rx.alias("ref_x"), ry.alias("ref_y"))
-    zero, fewer = F.lit(0.0), fit(*[F.lit(v) for v in (1.0, 0.0, 0.0, 0.0, 0.0, 0.0)])
+    fewer = fit(*[F.lit(v) for v in (1.0, 0.0, 0.0, 0.0, 0.0, 0.0)])
     found = fit(F.sqrt(ex * ex + ey * ey) / before, points[0]["sx"].cast("double"), points[0]["sy"].cast("double"), turn, one["cx"].cast("double"), one["cy"].cast("double"))
-    del zero
     return F.when((F.size(points) >= 2) & (before > 0), found).otherwise(fewer)
 
 
