@@ -31,6 +31,9 @@ BLOCK_WORDS, BLOCK_TEXTS = 250_000, 500
 #: Centres of a bucket in the second round; four times as many in each one after.
 CENTRES = 8
 
+#: Hash slots by which texts without a candidate partner are told apart before they would be moved.
+SLOTS = 1 << 18
+
 _U = np.uint64
 _STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], _U)
 ELEMENT_BITS = 50
@@ -257,7 +260,10 @@ def _labels(docs: DataFrame, signed: DataFrame, threshold: float, scratch: Scrat
     centre = members.groupBy("node").agg(F.sum("size").alias("centre"), F.first("doc_id").alias("doc_id"))
     centre = scratch.keep(centre)
     wanted = centre.select(F.col("node").alias("n"), F.col("doc_id").alias("i"))
-    source = docs.join(wanted, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("i"))).select("node", "text").dropDuplicates(["node"])
+    # what most texts fail is told without moving them: whether any wanted text has their slot; SLOTS rows at most
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
+    some = docs.withColumn("slot", slot("node")).join(F.broadcast(wanted.select(slot("n").alias("slot")).distinct()), "slot", "left_semi")
+    source = some.join(wanted, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("i"))).select("node", "text").dropDuplicates(["node"])
     known = scratch.keep(contents(source))
     members = scratch.keep(members.drop("doc_id", "size").join(centre.drop("doc_id"), "node"))
     apart = F.least("aw", "bw") >= F.lit(threshold) * F.greatest("aw", "bw")
@@ -266,6 +272,7 @@ def _labels(docs: DataFrame, signed: DataFrame, threshold: float, scratch: Scrat
     seen = scratch.keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     edges = scratch.keep(verify(seen, known, threshold))
     labels, most = components(edges, scratch), CENTRES
+    bands = scratch.keep(members.groupBy("node").agg(F.array_sort(F.collect_list("band")).alias("bands")))
     bound, left = None, members.select("band", "node", "weight")
     while True:
         fit = fitted(left.count())
@@ -275,7 +282,7 @@ def _labels(docs: DataFrame, signed: DataFrame, threshold: float, scratch: Scrat
         if bound is None:  # weight that some other of these texts could share
             inside = known.join(fit(x.select("node").distinct()), "node").select("node", F.explode(F.arrays_zip("elements", "counts")).alias("e")).select("node", F.col("e.elements").alias("element"), F.col("e.counts").alias("n"))
             common = inside.groupBy("element").agg(F.count("*").alias("df")).filter("df > 1").select("element")
-            bound = scratch.keep(inside.join(common, "element").groupBy("node").agg(F.sum("n").alias("most")))
+            bound = scratch.keep(inside.join(common, "element").groupBy("node").agg(F.sum("n").alias("most")).join(bands, "node"))
         x = fit(x.join(bound, "node")).filter(F.col("most") >= F.lit(threshold - 1e-9) * F.col("weight"))
         x = scratch.keep(fit(x.join(still_open(x, fit), "band")))
         largest = x.agg(F.max("size")).first()[0]
@@ -283,9 +290,11 @@ def _labels(docs: DataFrame, signed: DataFrame, threshold: float, scratch: Scrat
             return labels
         left = x.select("band", "node", "weight")
         pick = F.pmod(F.xxhash64("band", "node"), F.lit(1 << 30)) < F.lit(float(most << 30)) / F.col("size")
-        a = x.select("band", F.col("node").alias("a"), F.col("weight").alias("aw"), F.col("label").alias("al"), F.col("most").alias("am"))
-        b = x.filter(pick).select(F.col("band").alias("band2"), F.col("node").alias("b"), F.col("weight").alias("bw"), F.col("label").alias("bl"), F.col("most").alias("bm"))
+        a = x.select("band", F.col("node").alias("a"), F.col("weight").alias("aw"), F.col("label").alias("al"), F.col("most").alias("am"), F.col("bands").alias("ab"), pick.alias("ap"))
+        b = x.filter(pick).select(F.col("band").alias("band2"), F.col("node").alias("b"), F.col("weight").alias("bw"), F.col("label").alias("bl"), F.col("most").alias("bm"), F.col("bands").alias("bb"))
         fits = (F.col("band") == F.col("band2")) & (F.col("al") != F.col("bl")) & (F.least("am", "bm") >= F.lit((threshold - 1e-9) / (1 + threshold)) * (F.col("aw") + F.col("bw")))
+        # once for each pair: two centres meet one way round, and in their first common bucket
+        fits &= (~F.col("ap") | (F.col("a") < F.col("b"))) & (F.array_min(F.array_intersect("ab", "bb")) == F.col("band"))
         pairs = a.join(b, fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         new = scratch.keep(pairs.join(seen, ["a", "b"], "left_anti"))
         more = scratch.keep(verify(new, known, threshold))
