@@ -1,8 +1,8 @@
 """Toxicity scores from confirmed toxic examples and unlabelled text: non-negative positive-unlabelled learning.
 
 The risk of a classifier over all text is pi * E_p[l(+)] + E_u[l(-)] - pi * E_p[l(-)], with pi the share of toxic documents;
-the last two terms estimate the risk over clean text, which can't be negative. When a batch's estimate falls below zero the
-step goes the other way (the non-negative correction), so that the fit doesn't go after the positives in the unlabelled set.
+the last two terms estimate the risk over clean text, which can't be negative. Where a batch's estimate falls below zero it
+counts as zero (the non-negative correction), so that the fit doesn't go after the positives in the unlabelled set.
 """
 
 from __future__ import annotations
@@ -104,8 +104,10 @@ def nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
             # losses: l(+) = 1 - s, l(-) = s
             clean = su.mean() - prior * sp.mean()
             gp, gu = sp * (1 - sp) / len(P), su * (1 - su) / len(U)
-            g = back(U, gu) - prior * back(P, gp)
-            g = -g if clean < 0 else g - prior * back(P, gp)
+            # the clean part's risk is max(0, clean): below zero it has no slope
+            g = -prior * back(P, gp)
+            if clean > 0:
+                g += back(U, gu) - prior * back(P, gp)
             g[:n] += decay * w[:n]
             t += 1
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
