@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veilframe.llm.common import text_of
+from veilframe.llm.common import Scratch, text_of
 
 #: Fixed list: common words of English, German, French and Spanish.
 ANCHORS = (
@@ -70,7 +70,8 @@ def near_pairs(df: DataFrame, threshold: float = 0.8, key: str = "doc_id", sigs:
     the rest follows from `classes`. Empty fingerprints and null keys have no partner. Any partner shares one of the
     size - ceil(threshold * size) + 1 rarest signatures; only these are joined, within size classes. No pair is lost.
     """
-    reps = classes(df, key, sigs)
+    scratch = Scratch(df.sparkSession, "spots")  # the fingerprints are read several times over
+    reps = scratch.keep(classes(scratch.keep(df.select(key, sigs)), key, sigs))
     one = reps.groupBy("fp").agg(F.min("rep").alias("id"), F.first("sigs").alias("sigs")).select("id", "sigs", F.size("sigs").alias("n"))
     each = one.select("id", "n", F.explode("sigs").alias("s"))
     rarity = each.groupBy("s").agg(F.count("*").alias("df")).filter("df > 1")
