@@ -7,6 +7,7 @@ counts as zero (the non-negative correction), so that the fit doesn't go after t
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,18 +18,24 @@ from pyspark.sql import functions as F
 
 from veilframe.llm.common import release, text_of
 
-#: Examples the fit takes at most, about: confirmed toxic ones, unlabelled ones. Chosen by a hash of the id over all rows.
-MOST_POSITIVE, MOST_UNLABELLED = 4_000, 12_000
+#: Confirmed toxic examples the fit takes at most, about; chosen by a hash of the id over all. It takes all unlabelled ones.
+MOST_POSITIVE = 4_000
 #: Words the classifier looks at, at most, and examples a word must occur in.
 FEATURES, LEAST = 4_096, 3
+#: Letters of a word's beginning.
+BEGINNING = 4
 #: A row in FOLDS is held out.
 FOLDS = 5
 
 
 def words(text: str | Column) -> Column:
-    """Hashes of a text's distinct words: runs of letters and digits, lower case."""
-    parts = F.split(F.lower(text_of(text)), r"[^\p{L}\p{N}]+")
-    return F.array_distinct(F.transform(parts, lambda w: F.xxhash64(w)))
+    """Hashes of a text's distinct words, runs of letters and digits in lower case, and of the beginnings of the longer ones.
+
+    A beginning stands there once for each distinct word that has it: forms of one word add up.
+    """
+    parts = F.array_distinct(F.split(F.lower(text_of(text)), r"[^\p{L}\p{N}]+"))
+    longer = F.filter(parts, lambda w: F.length(w) > BEGINNING)
+    return F.concat(F.transform(parts, lambda w: F.xxhash64(w)), F.transform(longer, lambda w: F.xxhash64(F.concat(F.lit("^"), F.substring(w, 1, BEGINNING)))))
 
 
 def held_out(doc_id: str | Column) -> Column:
@@ -39,111 +46,164 @@ def held_out(doc_id: str | Column) -> Column:
 
 @dataclass
 class Model:
-    """A linear classifier over the presence of words, by their hashes (sorted)."""
+    """A linear classifier over words and beginnings, by their hashes (sorted)."""
 
     hashes: np.ndarray
     weights: np.ndarray
     bias: float
 
     def scores(self, values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Scores from 0 to 1 of documents whose distinct word hashes are values[offsets[i]:offsets[i + 1]]."""
+        """Scores from 0 to 1 of documents whose hashes are values[offsets[i]:offsets[i + 1]]."""
         n = len(offsets) - 1
         if not len(self.hashes) or not n:
             return np.full(n, 1 / (1 + np.exp(-self.bias)))
-        at = np.minimum(np.searchsorted(self.hashes, values), len(self.hashes) - 1)
-        found = np.flatnonzero(self.hashes[at] == values)
-        rows = np.searchsorted(offsets, found + offsets[0], side="right") - 1
-        sums = np.bincount(rows, self.weights[at[found]], n) + self.bias
+        rows, numbers = _numbers(values, offsets, self.hashes)
+        sums = np.bincount(rows, self.weights[numbers], n) + self.bias
         return 1 / (1 + np.exp(-np.clip(sums, -50, 50)))
 
 
-def select_words(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
-    """Hashes of the words whose share among positives is furthest above, in standard errors, that among the unlabelled."""
-    p, pn = np.unique(np.concatenate(positive), return_counts=True)
-    u, un = np.unique(np.concatenate(unlabelled), return_counts=True) if unlabelled else (p[:0], pn[:0])
-    at = np.searchsorted(u, p)
-    there = np.where(at < len(u), u[np.minimum(at, max(len(u) - 1, 0))] == p, False) if len(u) else np.zeros(len(p), bool)
-    other = np.where(there, un[np.minimum(at, max(len(un) - 1, 0))] if len(un) else 0, 0)
-    a, b = len(positive), max(len(unlabelled), 1)
-    share = (pn + other) / (a + b)
-    z = (pn / a - other / b) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / a + 1 / b))
-    keep = np.flatnonzero((pn >= LEAST) & (z > 2))
-    best = keep[np.argsort(-z[keep], kind="stable")[:FEATURES]]
-    return np.sort(p[best])
+def select_words(candidates: np.ndarray, toxic: np.ndarray, n_toxic: int, other: np.ndarray, n_other: int) -> np.ndarray:
+    """Candidates whose share among toxic documents is furthest above, in standard errors, that among all.
+
+    They are further above than the best of as many candidates would come by chance.
+    """
+    a, b = max(n_toxic, 1), max(n_other, 1)
+    share = (toxic + other) / (a + b)
+    z = (toxic / a - other / b) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / a + 1 / b))
+    keep = np.flatnonzero(z > np.sqrt(2 * np.log(max(len(candidates), 8))))
+    return np.sort(candidates[keep[np.argsort(-z[keep], kind="stable")[:FEATURES]]])
+
+
+def _numbers(values: np.ndarray, offsets: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and numbers, within hashes (sorted, not empty), of the values found there; of documents as in Model.scores."""
+    at = np.minimum(np.searchsorted(hashes, values), len(hashes) - 1)
+    found = np.flatnonzero(hashes[at] == values)
+    return np.searchsorted(offsets, found + offsets[0], side="right") - 1, at[found]
+
+
+def _documents(values: np.ndarray, offsets: np.ndarray, hashes: np.ndarray) -> list[np.ndarray]:
+    """The sorted numbers of each document."""
+    rows, numbers = _numbers(values, offsets, hashes)
+    order = np.lexsort((numbers, rows))
+    return np.split(numbers[order], np.searchsorted(rows[order], np.arange(1, len(offsets) - 1)))
 
 
-def _matrix(docs: list[np.ndarray], hashes: np.ndarray) -> list[np.ndarray]:
-    return [np.flatnonzero(np.isin(hashes, d)) for d in docs]
+def _frequencies(values: np.ndarray, offsets: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """In how many documents each of the hashes occurs."""
+    rows, numbers = _numbers(values, offsets, hashes)
+    return np.bincount(np.unique(rows * len(hashes) + numbers) % len(hashes), minlength=len(hashes))
 
 
-def nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, n: int, epochs: int = 40, batch: int = 512, rate: float = 0.05, decay: float = 1e-4, seed: int = 0) -> tuple[np.ndarray, float]:
-    """Weights and bias for documents given as feature numbers, under the non-negative risk with the sigmoid loss; by Adam."""
-    rng, w = np.random.default_rng(seed), np.zeros(n + 1)
+def nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, n: int, counts: np.ndarray | None = None, steps: int = 800, rate: float = 0.05, decay: float = 1e-5) -> tuple[np.ndarray, float]:
+    """Weights and bias for documents given as feature numbers, under the non-negative risk with the sigmoid loss; by Adam.
+
+    counts: how often each of `unlabelled` occurs, once if None. Each step takes all examples.
+    """
+    w = np.zeros(n + 1)
     w[n] = np.log(prior / (1 - prior))
-    m, v, t = np.zeros(n + 1), np.zeros(n + 1), 0
+    m, v = np.zeros(n + 1), np.zeros(n + 1)
 
-    def score(docs: list[np.ndarray]) -> np.ndarray:
+    def flat(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.array([len(d) for d in docs])
-        rows = np.repeat(np.arange(len(docs)), sizes)
-        return np.bincount(rows, w[np.concatenate(docs)] if sizes.sum() else None, len(docs)) + w[n]
+        return np.repeat(np.arange(len(docs)), sizes), np.concatenate(docs).astype(int)
 
-    def back(docs: list[np.ndarray], slope: np.ndarray) -> np.ndarray:
-        sizes = np.array([len(d) for d in docs])
-        flat = np.concatenate(docs) if sizes.sum() else np.zeros(0, int)
-        out = np.bincount(flat, np.repeat(slope, sizes), n + 1)
+    def score(rows: np.ndarray, numbers: np.ndarray, size: int) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(np.bincount(rows, w[numbers], size) + w[n], -50, 50)))
+
+    def back(rows: np.ndarray, numbers: np.ndarray, slope: np.ndarray) -> np.ndarray:
+        out = np.bincount(numbers, slope[rows], n + 1)
         out[n] += slope.sum()
         return out
 
-    steps = max(1, -(-len(unlabelled) // batch))
-    for _ in range(epochs):
-        us = np.array_split(rng.permutation(len(unlabelled)), steps)
-        ps = [rng.choice(len(positive), min(batch, len(positive)), replace=False) for _ in range(steps)]
-        for pi, ui in zip(ps, us, strict=True):
-            P, U = [positive[k] for k in pi], [unlabelled[k] for k in ui]
-            sp, su = 1 / (1 + np.exp(-score(P))), 1 / (1 + np.exp(-score(U)))
-            # losses: l(+) = 1 - s, l(-) = s
-            clean = su.mean() - prior * sp.mean()
-            gp, gu = sp * (1 - sp) / len(P), su * (1 - su) / len(U)
-            # the clean part's risk is max(0, clean): below zero it has no slope
-            g = -prior * back(P, gp)
-            if clean > 0:
-                g += back(U, gu) - prior * back(P, gp)
-            g[:n] += decay * w[:n]
-            t += 1
-            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-            w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    P, U = flat(positive), flat(unlabelled)
+    share = np.full(len(unlabelled), 1 / len(unlabelled)) if counts is None else counts / counts.sum()
+    for t in range(1, steps + 1):
+        sp, su = score(*P, len(positive)), score(*U, len(unlabelled))
+        # losses: l(+) = 1 - s, l(-) = s
+        clean = share @ su - prior * sp.mean()
+        toxic = prior * back(*P, sp * (1 - sp) / len(positive))
+        # the clean part's risk is max(0, clean): below zero it has no slope
+        g = -toxic
+        if clean > 0:
+            g += back(*U, share * su * (1 - su)) - toxic
+        g[:n] += decay * w[:n]
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return w[:n], float(w[n])
 
 
+def _column(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    w = batch.column("w")
+    return w.values.to_numpy(), w.offsets.to_numpy()
+
+
+def document_frequencies(docs: DataFrame, hashes: np.ndarray) -> tuple[np.ndarray, int]:
+    """In how many rows of a column w each of the hashes (sorted) occurs, and the number of rows. Each task sends its counts."""
+    shared = docs.sparkSession.sparkContext.broadcast(hashes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, n = shared.value, 0
+        sums = np.zeros(len(own), np.int64)
+        for batch in batches:
+            n += batch.num_rows
+            sums += _frequencies(*_column(batch), own)
+        there = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *there], pa.int32()), pa.array([n, *sums[there]], pa.int64())], names=["k", "n"])
+
+    got = docs.mapInArrow(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    k, n = got.column("k").to_numpy(), got.column("n").to_numpy()
+    out = np.zeros(len(hashes), np.int64)
+    out[k[k >= 0]] = n[k >= 0]
+    return out, int(n[k < 0].sum())
+
+
+def patterns(docs: DataFrame, hashes: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct lists of numbers that rows of a column w have among the hashes, and how many rows have each."""
+    shared = docs.sparkSession.sparkContext.broadcast(hashes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, seen = shared.value, Counter()
+        for batch in batches:
+            seen.update(d.astype(np.int32).tobytes() for d in _documents(*_column(batch), own))
+            if len(seen) > 50_000:
+                yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], names=["p", "n"])
+                seen.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], names=["p", "n"])
+
+    got = docs.mapInArrow(run, "p binary, n long").groupBy("p").agg(F.sum("n").alias("n")).orderBy("p").toArrow()
+    return [np.frombuffer(p.as_py(), np.int32) for p in got.column("p")], got.column("n").to_numpy()
+
+
 def fit(documents: DataFrame, labels: DataFrame, seed: int = 0) -> Model:
     """Learns from rows that aren't held out: toxic = 1 confirmed, all documents unlabelled.
 
-    The prior is the toxic share of the labelled rows, within 0.01 and 0.5. Of the examples, about MOST_POSITIVE and
-    MOST_UNLABELLED are taken; which ones, a hash of the id says. Documents with several labels count as often as they have
-    them; null labels don't count. Without any toxic example every score is 0.
+    The prior is the toxic share of the labelled rows, within 0.01 and 0.5. Of the confirmed examples, about MOST_POSITIVE are
+    taken; which ones, a hash of the id says. All documents count as unlabelled: how many hold a word is counted by tasks, and
+    the fit takes their distinct patterns of chosen words with their numbers, which the driver holds. Documents with several
+    labels count as often as they have them; null labels don't count. Without any toxic example every score is 0.
     """
+    none = Model(np.zeros(0, np.int64), np.zeros(0), -50.0)
     known = labels.filter(~held_out("doc_id") & F.col("doc_id").isNotNull()).select("doc_id", "toxic")
     n, toxic = known.agg(F.count("toxic"), F.sum(F.coalesce(F.col("toxic"), F.lit(0)))).first()
     if not toxic:
-        return Model(np.zeros(0, np.int64), np.zeros(0), -50.0)
+        return none
     prior = min(max(toxic / n, 0.01), 0.5)
-    total = documents.count()
-
-    def part(df: DataFrame, have: int, most: int, salt: int) -> DataFrame:
-        return df.filter(F.pmod(F.xxhash64(F.lit(seed + salt), "doc_id"), F.lit(1 << 30)) < int(min(1.0, most / max(have, 1)) * (1 << 30)))
-
-    def gather(df: DataFrame) -> list[np.ndarray]:
-        got = df.select(words("text").alias("w")).toArrow().column("w").combine_chunks()
-        values, offsets = got.values.to_numpy(), got.offsets.to_numpy()
-        return [values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-
+    some = known.filter("toxic = 1").filter(F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(1 << 30)) < int(min(1.0, MOST_POSITIVE / toxic) * (1 << 30)))
     docs = documents.filter(~held_out("doc_id")).select("doc_id", "text")
-    positive = gather(docs.join(part(known.filter("toxic = 1"), toxic, MOST_POSITIVE, 1), "doc_id"))
-    unlabelled = gather(part(docs, total, MOST_UNLABELLED, 2))
-    if not positive or not unlabelled:
-        return Model(np.zeros(0, np.int64), np.zeros(0), -50.0)
-    hashes = select_words(positive, unlabelled)
-    w, b = nnpu(_matrix(positive, hashes), _matrix(unlabelled, hashes), prior, len(hashes), seed=seed)
+    got = docs.join(some, "doc_id").select(words("text").alias("w")).toArrow().column("w").combine_chunks()
+    if not len(got):
+        return none
+    values, offsets = got.values.to_numpy(), got.offsets.to_numpy()
+    candidates = np.unique(values)
+    counts = _frequencies(values, offsets, candidates)
+    candidates, counts = candidates[counts >= LEAST], counts[counts >= LEAST]
+    if not len(candidates):
+        return none
+    unlabelled = docs.select(words("text").alias("w"))
+    hashes = select_words(candidates, counts, len(got), *document_frequencies(unlabelled, candidates))
+    if not len(hashes):
+        return none
+    w, b = nnpu(_documents(values, offsets, hashes), (found := patterns(unlabelled, hashes))[0], prior, len(hashes), found[1])
     return Model(hashes, w, b)
 
 
