@@ -30,7 +30,7 @@ ENDINGS = {("LATIN", "m"): ["n", "r", "s"], ("LATIN", "f"): ["na", "la", "ra"],
 #: What a text must hold for an entity to be in it; for Spark.
 _FIRST = "".join(sorted({t[0] for ts in TITLES.values() for t in ts.split("|")}))
 #: The class in front keeps a matcher from trying all titles at every character.
-TRIGGER = r"[@0-9]|(?=[A" + _FIRST + r"])(?:A[KS]IA[A-Z]|(?:" + "|".join(TITLES.values()) + r")\.? )"
+TRIGGER = r"[@\p{Nd}]|(?=[A" + _FIRST + r"])(?:A[KS]IA[A-Z]|(?:" + "|".join(TITLES.values()) + r")[. ])"
 
 _NAME = r"[^\W\d_a-zа-яα-ω][^\W\d_]+"
 _PATTERNS = (
