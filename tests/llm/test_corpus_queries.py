@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from veilframe.llm import mixing, queries, spotsigs, toxicity, url_trust
@@ -90,12 +91,60 @@ def test_toxicity_edges(spark):
 
 
 def test_toxicity_counts_all_documents(spark):
-    df = spark.range(13_000).selectExpr("if(id % 1000 = 0, 'a b', 'a') AS text").select(toxicity.words("text").alias("w"))
-    h = np.sort(np.array(df.filter("size(w) = 2").first().w))
-    both, rows = toxicity.document_frequencies(df, h)
-    assert rows == 13_000 and sorted(both) == [13, 13_000]
-    found, n = toxicity.patterns(df, h)
-    assert sorted(zip(map(len, found), n, strict=True)) == [(1, 12_987), (2, 13)]
+    df = spark.range(13_000).selectExpr("if(id % 1000 = 0, 'abcd efgh', 'abcd') AS text").select(toxicity.words("text").alias("w"))
+    values = np.sort(np.frombuffer(b"abcd\0\0\0\0efgh\0\0\0\0", np.uint64))
+    counts, rows = toxicity.document_frequencies(df, values)
+    assert rows == 13_000 and sorted(counts) == [13, 13_000]
+
+
+def test_pieces_equal_plain_python(monkeypatch):
+    monkeypatch.setattr(toxicity, "CHUNK", 64)
+    texts = [" idiot the idiots ", "  ", " ß ", " über " * 3, "", " abcdefghijk ", " aaaa " * 40]
+    data, offsets = toxicity._bytes(pa.array(["skipped", *texts]).slice(1))
+    own = [{t.encode()[i : i + n] for n in toxicity.SIZES for i in range(len(t.encode()) - n + 1)} for t in texts]
+    number = lambda b: int.from_bytes(b, "little")
+    values = np.array(sorted({number(b) for x in own for b in x}), np.uint64)
+    some = values[::3]
+    rows, numbers = toxicity.Finder(some).find(data, offsets)
+    want = [(r, k) for r, x in enumerate(own) for k in sorted(np.flatnonzero(np.isin(some, np.array([number(b) for b in x], np.uint64))))]
+    assert list(zip(rows, numbers, strict=True)) == want
+    monkeypatch.setattr(toxicity, "CHUNK", 1 << 20)
+    found, n = toxicity.pieces(data, offsets)
+    assert dict(zip(found.tolist(), n.tolist(), strict=True)) == {v: sum(any(number(b) == v for b in x) for x in own) for v in values.tolist()}
+
+
+def test_toxicity_knows_stems_and_letters_set_apart(spark):
+    """Words that no example had: fresh endings of known stems, and known words whose letters stand apart."""
+    g = np.random.default_rng(1)
+    syllables = ["ba", "do", "ke", "li", "mu", "ra", "so", "ti", "ve", "zu"]
+    word = lambda k: "".join(g.choice(syllables, k))
+    plain = lambda n: [word(g.integers(2, 4)) for _ in range(n)]
+
+    def bad(end):
+        return "grolf" + end
+
+    docs, labels = [], []
+    for i in range(1_500):
+        w, toxic = plain(60), i % 6 == 0
+        if toxic:
+            for k in g.integers(0, 60, 3):
+                w[k] = bad(word(1))
+        docs.append((i, " ".join(w)))
+        labels.append((i, 1, int(toxic)))
+    new = [" ".join(["x", *plain(30), bad("ist"), *plain(30)]) for _ in range(40)] + [" ".join([*plain(30), "g r o l f b a", *plain(30)]) for _ in range(40)]
+    clean = [" ".join(plain(60)) for _ in range(200)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    model = toxicity.fit(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = toxicity.score(spark.createDataFrame([(i, t) for i, t in enumerate(new + clean)], "doc_id long, text string"), model).toPandas().set_index("doc_id")
+    limit = got["score"][80:].quantile(0.9)
+    assert (got["score"][:80] > limit).mean() > 0.9 and (got["predicted"][80:] == 1).mean() < 0.05
+
+
+def test_toxicity_keeps_columns_of_its_own_names(spark):
+    docs = spark.createDataFrame([(1, "a", 7.5, 3, "q"), (2, None, 1.5, 4, None)], "doc_id long, text string, score double, Predicted int, __score string")
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    got = toxicity.clean(docs, none)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == [(1, "a", 7.5, 3, "q"), (2, None, 1.5, 4, None)]
 
 
 def test_nnpu_corrects_for_positives_in_the_unlabelled():
@@ -105,9 +154,9 @@ def test_nnpu_corrects_for_positives_in_the_unlabelled():
         return np.flatnonzero(np.concatenate([g.random(5) < (0.6 if toxic else 0.02), g.random(20) < 0.3]))
 
     pos, unl = [doc(1) for _ in range(300)], [doc(g.random() < 0.3) for _ in range(2000)]
-    w, b = toxicity.nnpu(pos, unl, 0.3, 25)
-    hit = [w[doc(1)].sum() + b > 0 for _ in range(500)]
-    miss = [w[doc(0)].sum() + b > 0 for _ in range(500)]
+    w = toxicity.nnpu(toxicity.Examples.of(pos), toxicity.Examples.of(unl), 0.3, 25)
+    hit = [w[doc(1)].sum() + w[25] > 0 for _ in range(500)]
+    miss = [w[doc(0)].sum() + w[25] > 0 for _ in range(500)]
     assert np.mean(hit) > 0.9 and np.mean(miss) < 0.15
 
 

@@ -22,6 +22,15 @@ def text_of(column: str | Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def fresh(df: DataFrame | list[str], base: str) -> str:
+    """A column name that df doesn't have in any case of letters: base, with underscores before it as needed."""
+    taken = {c.lower() for c in (df if isinstance(df, list) else df.columns)}
+    name = f"__{base}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor and the driver can read: spark.checkpoint.dir, or a temporary one where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
