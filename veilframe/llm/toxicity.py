@@ -71,31 +71,35 @@ def _mask(size: int) -> np.uint64:
     return _U((1 << 8 * size) - 1)
 
 
-def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct pieces of texts, as numbers, and how many of the texts have each; a text counts once for each CHUNK it fills."""
-    found, counts = [], []
+def _parts(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Bytes and offsets of an Arrow column, in runs of rows of about CHUNK bytes; a longer text is alone."""
+    data, offsets = _bytes(column)
     row = 0
     while row < len(offsets) - 1:
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + CHUNK, side="right")) - 1)
-        for lo in range(int(offsets[row]), int(offsets[end]), CHUNK):
-            hi = min(lo + CHUNK, int(offsets[end]))
-            at = np.arange(lo, hi)
-            own = np.searchsorted(offsets, at, side="right") - 1
-            left, eight = offsets[own + 1] - at, _eights(data, lo, hi)
-            for size in SIZES:
-                ok = left >= size
-                r, v = own[ok], eight[ok] & _mask(size)
-                order = np.lexsort((v, r))
-                r, v = r[order], v[order]
-                v = np.sort(v[np.concatenate([[True], (r[1:] != r[:-1]) | (v[1:] != v[:-1])])] if len(v) else v)
-                first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]])) if len(v) else np.zeros(0, int)
-                found.append(v[first])
-                counts.append(np.diff(np.append(first, len(v))))
+        yield data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
-    if not found:
-        return np.zeros(0, _U), np.zeros(0, np.int64)
-    v, back = np.unique(np.concatenate(found), return_inverse=True)
-    return v, np.bincount(back, np.concatenate(counts), len(v)).astype(np.int64)
+
+
+def pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct pieces of texts, as numbers, and how many of the texts have each; for every CHUNK bytes."""
+    for lo in range(0, len(data), CHUNK):
+        hi = min(lo + CHUNK, len(data))
+        at = np.arange(lo, hi)
+        own = np.searchsorted(offsets, at, side="right") - 1
+        left, eight = offsets[own + 1] - at, _eights(data, lo, hi)
+        found, counts = [], []
+        for size in SIZES:
+            ok = left >= size
+            r, v = own[ok], eight[ok] & _mask(size)
+            order = np.lexsort((r, v))
+            r, v = r[order], v[order]
+            once = np.concatenate([[True], (r[1:] != r[:-1]) | (v[1:] != v[:-1])]) if len(v) else np.zeros(0, bool)
+            v = v[once]
+            first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]])) if len(v) else np.zeros(0, int)
+            found.append(v[first])
+            counts.append(np.diff(np.append(first, len(v))))
+        yield np.concatenate(found), np.concatenate(counts)
 
 
 @dataclass
@@ -158,15 +162,21 @@ def length(offsets: np.ndarray) -> np.ndarray:
     return np.log1p(np.diff(offsets).astype(float))
 
 
-def above(toxic: np.ndarray, n_toxic: int, other: np.ndarray, n_other: int, most: int) -> np.ndarray:
-    """Numbers of those whose share among toxic documents is furthest above, in standard errors, that among others; sorted.
-
-    They are further above than the best of as many candidates would come by chance.
-    """
+def _excess(toxic: np.ndarray, n_toxic: int, other: np.ndarray | int, n_other: int) -> np.ndarray:
+    """How far, in standard errors, shares among toxic documents are above those among others."""
     a, b = max(n_toxic, 1), max(n_other, 1)
     share = (toxic + other) / (a + b)
-    z = (toxic / a - other / b) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / a + 1 / b))
-    keep = np.flatnonzero(z > np.sqrt(2 * np.log(max(len(toxic), 8))))
+    return (toxic / a - other / b) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / a + 1 / b))
+
+
+def _chance(candidates: int) -> float:
+    """What the best of as many candidates comes to by chance."""
+    return float(np.sqrt(2 * np.log(max(candidates, 8))))
+
+
+def above(z: np.ndarray, least: float, most: int) -> np.ndarray:
+    """Numbers of those over least, the greatest ones if they are more than most; sorted."""
+    keep = np.flatnonzero(z > least)
     return np.sort(keep[np.argsort(-z[keep], kind="stable")[:most]])
 
 
@@ -200,7 +210,7 @@ class Examples:
         return out
 
 
-def nnpu(positive: Examples, unlabelled: Examples, prior: float, n: int, steps: int = 800, rate: float = 0.05, decay: float = 1e-4) -> np.ndarray:
+def nnpu(positive: Examples, unlabelled: Examples, prior: float, n: int, steps: int = 800, rate: float = 0.05, decay: float = 1e-5) -> np.ndarray:
     """Weights of n pieces, then bias and slope, under the non-negative risk with the sigmoid loss; by Adam.
 
     Each step takes all examples. Losses: l(+) = 1 - s, l(-) = s, with s the score.
@@ -232,12 +242,13 @@ def cut(positive: np.ndarray, unlabelled: np.ndarray) -> float:
 
 
 def piece_counts(texts: DataFrame) -> DataFrame:
-    """piece, n: how many rows of a column w have each piece; summed in each batch first."""
+    """piece, n: how many rows of a column w have each piece; a text longer than CHUNK counts once for each CHUNK it fills."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v, n = pieces(*_bytes(batch.column("w")))
-            yield pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)), pa.array(n)], names=["piece", "n"])
+            for part in _parts(batch.column("w")):
+                for v, n in pieces(*part):
+                    yield pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)), pa.array(n)], names=["piece", "n"])
         release()
 
     return texts.select("w").mapInArrow(run, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n"))
@@ -252,7 +263,8 @@ def document_frequencies(texts: DataFrame, values: np.ndarray) -> tuple[np.ndarr
         sums = np.zeros(len(own.values), np.int64)
         for batch in batches:
             n += batch.num_rows
-            sums += np.bincount(own.find(*_bytes(batch.column("w")))[1], minlength=len(sums))
+            for part in _parts(batch.column("w")):
+                sums += np.bincount(own.find(*part)[1], minlength=len(sums))
         there = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array([-1, *there], pa.int32()), pa.array([n, *sums[there]], pa.int64())], names=["k", "n"])
         release()
@@ -272,11 +284,14 @@ def examples(texts: DataFrame, values: np.ndarray) -> tuple[Examples, np.ndarray
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Finder(shared.value)
         for batch in batches:
-            data, offsets = _bytes(batch.column("w"))
-            rows, numbers = own.find(data, offsets)
-            ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=batch.num_rows))])
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(numbers, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*map(batch.column, marks), pa.array(length(offsets)), lists], names=[*marks, "size", "numbers"])
+            at = 0
+            for data, offsets in _parts(batch.column("w")):
+                rows, numbers = own.find(data, offsets)
+                n = len(offsets) - 1
+                ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(numbers, pa.int32()))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(at, n) for c in marks), pa.array(length(offsets)), lists], names=[*marks, "size", "numbers"])
+                at += n
         release()
 
     got = texts.mapInArrow(run, "toxic boolean, pool boolean, tune boolean, size double, numbers array<int>").toArrow().sort_by([(c, "ascending") for c in (*marks, "size")])
@@ -312,11 +327,13 @@ def fit(documents: DataFrame, labels: DataFrame, seed: int = 0) -> Model:
         got = piece_counts(chosen.filter("toxic")).filter(F.col("n") >= LEAST).toArrow()
         values, counts = got.column("piece").to_numpy().view(_U), got.column("n").to_numpy()
         order = np.argsort(values)
-        values, counts = values[order], counts[order]
-        keep = above(counts, n_pos, document_frequencies(chosen.filter("pool"), values)[0], n_pool, CANDIDATES)
+        values, counts, least = values[order], counts[order], _chance(len(values))
+        # those that would be far enough above if no other document had them
+        keep = np.flatnonzero(_excess(counts, n_pos, 0, n_pool) > least)
+        values, counts = values[keep], counts[keep]
+        keep = above(_excess(counts, n_pos, document_frequencies(chosen.filter("pool"), values)[0], n_pool), least, CANDIDATES)
         values, counts = values[keep], counts[keep]
-        keep = above(counts, n_pos, *document_frequencies(documents.select(words("text").alias("w")), values), FEATURES)
-        values = values[keep]
+        values = values[above(_excess(counts, n_pos, *document_frequencies(documents.select(words("text").alias("w")), values)), least, FEATURES)]
         if not len(values):
             return none
         docs, (confirmed, pool, tune) = examples(chosen, values)
@@ -347,7 +364,7 @@ def score(documents: DataFrame, model: Model, keep: list[str] | None = None, tex
         own = shared.value
         finder = Finder(own.values)
         for batch in batches:
-            s = own.scores(*_bytes(batch.column(w)), finder)
+            s = np.concatenate([np.zeros(0), *(own.scores(*part, finder) for part in _parts(batch.column(w)))])
             data = [batch.column(c) for c in cols] + [pa.array(s), pa.array((s >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(data, names=[*cols, *outs])
         release()
