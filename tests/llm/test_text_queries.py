@@ -44,6 +44,18 @@ def test_trie_bpe_equals_the_library(spark, word):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_library_encoder_equals_the_library(word, monkeypatch):
+    monkeypatch.setattr(trie_bpe, "TOGETHER", 7)
+    monkeypatch.setattr(trie_bpe, "LIBRARY_WORDS", 500)
+    own, g = trie_bpe.LibraryEncoder(public_tokenizers.path("word_bpe_49k.json")), np.random.default_rng(0)
+    letters = [chr(i) for i in range(256)] + list("'sstdremvl" * 3)
+    for more in ([], list("\u0301\u212bİſ中\u2028\ufb01")):
+        texts = ["".join(g.choice(letters + more, g.integers(0, 60))) for _ in range(3_000)] + ["<|startoftext|>it's<|endoftext|> 3²", "", " "]
+        for k in range(0, len(texts), 500):
+            want = [np.array(word.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts[k : k + 500]]
+            assert list(own.encode_ids(texts[k : k + 500])) == want
+
+
 def test_trie_bpe_keeps_other_columns(spark):
     df = spark.createDataFrame([(1, "a b", "c")], "doc_id long, text string, ids string")
     out = trie_bpe.encode(df, public_tokenizers.path("word_bpe_49k.json"))

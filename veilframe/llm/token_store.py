@@ -147,8 +147,7 @@ def write(df: DataFrame, folder: str, tokenizer: str, scratch: Scratch, end_id:
         if store is not None:
             store.close()
             out.close()
-        own.forget()
-        release()
+        release()  # the encoder's cache of words is bounded and serves the next task
 
     return scratch.keep(ranged.mapInArrow(run, "part int, file string, doc_no long, doc_id long, n_ids long"))
 

@@ -13,11 +13,13 @@ from __future__ import annotations
 
 import json
 import os.path
+import re
 import string
 from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -168,12 +170,15 @@ class TrieEncoder:
     def __init__(self, path: str):
         spec = json.load(open(path, encoding="utf-8"))
         self.tok = Tokenizer.from_file(path)
-        self.table = MergeTable(spec["model"])
-        self.letters = byte_letters()
+        self.prepare(spec["model"])
         self.special = [(t["content"], t["id"]) for t in spec["added_tokens"]]
-        self.spelled = {i: s for s, i in self.table.ids.items()} | {i: s for s, i in self.special}
+        self.spelled = {i: s for s, i in spec["model"]["vocab"].items()} | {i: s for s, i in self.special}
         self.ids: dict[str, bytes] = {}
         self.text: dict[str, str] = {}
+
+    def prepare(self, model: dict) -> None:
+        self.table = MergeTable(model)
+        self.letters = byte_letters()
         self.high = {chr(b): self.letters[b] for b in range(256) if self.letters[b] != chr(b)}
         self.high = str.maketrans(self.high)
 
@@ -237,24 +242,78 @@ class TrieEncoder:
             yield b"".join(map(ids, ps)), " ".join([s for s in map(text, ps) if s])
 
 
+#: Words of a lower-case text whose characters are all below U+0100, as the vocabulary's pattern cuts it: contractions, runs
+#: of letters, single digits, runs of others. Composition leaves such texts as they are.
+LATIN_WORDS = re.compile("[a-zªµºß-öø-ÿ]+|'(?:s|t|re|ve|m|ll|d)|[0-9²³¹¼-¾]|[^a-zªµºß-öø-ÿ0-9²³¹¼-¾\t-\r\x85\xa0 ]+")
+#: Words that a worker's cache holds, and words given to the library as one text.
+LIBRARY_WORDS, TOGETHER = 400_000, 5_000
+
+
 class LibraryEncoder(TrieEncoder):
-    """The same, distinct pieces encoded by the library itself; for comparison, and where no trie is asked for."""
+    """The same ids by the library itself: distinct words, many to a text; a token with the vocabulary's suffix ends a word."""
+
+    def prepare(self, model: dict) -> None:
+        self.coded: dict[str | int, bytes] = {}
+        self.often: set[str | int] = set()
+        end, vocab = model.get("end_of_word_suffix"), model["vocab"]
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        if end:
+            self.ends[[i for s, i in vocab.items() if s.endswith(end)]] = True
+
+    def cut(self, text: str) -> list[str | int]:
+        """A text's words in lower case, pieces that the library must cut, and special tokens as their ids."""
+        if not any(content in text for content, _ in self.special):
+            try:
+                text.encode("latin-1")
+                return LATIN_WORDS.findall(text.lower())
+            except UnicodeEncodeError:
+                pass
+        out: list[str | int] = []
+        for p in self.pieces(text):
+            if isinstance(p, str) and max(p) < "Ā":
+                out += LATIN_WORDS.findall(p.lower())
+            else:
+                out.append(p)
+        return out
 
-    def learn(self, pieces: set[str]) -> None:
-        if len(self.ids) > CACHE_WORDS:
-            self.ids = {p: x for p, x in self.ids.items() if p in pieces}
-        new = [p for p in pieces if p not in self.ids]
-        for k in range(0, len(new), 50_000):
-            part = new[k : k + 50_000]
-            for p, got in zip(part, self.tok.encode_batch(part, add_special_tokens=False), strict=True):
-                self.ids[p] = array("I", got.ids).tobytes()
+    def code(self, words: list[str]) -> None:
+        """Encodes distinct words and pieces."""
+        plain = [w for w in words if w.isascii() or max(w) < "Ā"]
+        others = [w for w in words if not (w.isascii() or max(w) < "Ā")]
+        for lo in range(0, len(plain), 20 * TOGETHER):
+            parts = [plain[k : k + TOGETHER] for k in range(lo, min(lo + 20 * TOGETHER, len(plain)), TOGETHER)]
+            for part, got in zip(parts, self.tok.encode_batch([" ".join(x) for x in parts], add_special_tokens=False), strict=True):
+                ids = np.array(got.ids, "<u4")
+                last = (np.flatnonzero(self.ends[ids]) + 1) * 4
+                if len(last) != len(part) or (len(last) and last[-1] != 4 * len(ids)):
+                    others += part
+                    continue
+                data, at = ids.tobytes(), 0
+                for w, end in zip(part, last.tolist(), strict=True):
+                    self.coded[w] = data[at:end]
+                    at = end
+        for k in range(0, len(others), 50_000):
+            part = others[k : k + 50_000]
+            self.coded.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, self.tok.encode_batch(part, add_special_tokens=False), strict=True))
+
+    def forget(self) -> None:
+        super().forget()
+        self.coded, self.often = {}, set()
 
     def encode_ids(self, texts: list[str]) -> Iterator[bytes]:
-        cut = [self.pieces(t) for t in texts]
-        self.learn(set(chain.from_iterable(cut)).difference(i for _, i in self.special))
-        self.ids |= {i: array("I", [i]).tobytes() for _, i in self.special}
-        for ps in cut:
-            yield b"".join(map(self.ids.__getitem__, ps))
+        """For each text its ids as little-endian unsigned 32-bit integers."""
+        cut = [self.cut(t) for t in texts]
+        words = set(chain.from_iterable(cut))
+        new = words.difference(self.coded)
+        self.often |= words - new
+        if len(self.coded) + len(new) > LIBRARY_WORDS:  # words of several blocks stay, or else those of this one
+            if 2 * len(self.often) > LIBRARY_WORDS:
+                self.often = words - new
+            self.coded = {w: self.coded[w] for w in self.often}
+        self.code([w for w in new if isinstance(w, str)])
+        self.coded |= {i: array("I", [i]).tobytes() for _, i in self.special}
+        for ws in cut:
+            yield b"".join(map(self.coded.__getitem__, ws))
 
 
 #: One encoder for each path, kind and worker process.
