@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veilframe.llm.common import Scratch, text_of
+from veilframe.llm.common import Scratch, fresh, text_of
 
 #: A word for the size of a text: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -166,7 +166,8 @@ def taken(df: DataFrame, seed: int = 0) -> DataFrame:
 def apply_mix(df: DataFrame, seed: int = 0, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """df's rows, each as often as the mix takes it, with df's columns."""
     out = mix(df, Scratch(df.sparkSession, "mix"), seed=seed, doc_id=doc_id, text=text, source=source)
-    wanted = out.filter("copies > 0").select(F.col("id").alias("__i"), F.col("key").alias("__k"), F.col("source").alias("__s"), F.col("copies").cast("int").alias("__n"))
-    keyed = df.withColumn("__key", F.xxhash64(text_of(text)))
-    same = (F.col("__key") == F.col("__k")) & F.col(doc_id).cast("long").eqNullSafe(F.col("__i")) & F.col(source).cast("string").eqNullSafe(F.col("__s"))
-    return keyed.join(wanted, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*[F.col(f"`{c}`") for c in df.columns])
+    i, k, name, n, key, copy = (fresh(df, x) for x in ("i", "k", "s", "n", "key", "copy"))
+    wanted = out.filter("copies > 0").select(F.col("id").alias(i), F.col("key").alias(k), F.col("source").alias(name), F.col("copies").cast("int").alias(n))
+    keyed = df.withColumn(key, F.xxhash64(text_of(text)))
+    same = (F.col(key) == F.col(k)) & F.col(doc_id).cast("long").eqNullSafe(F.col(i)) & F.col(source).cast("string").eqNullSafe(F.col(name))
+    return keyed.join(wanted, same).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*[F.col(f"`{c}`") for c in df.columns])

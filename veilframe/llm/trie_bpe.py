@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from veilframe.llm.common import blocks, release, text_of
+from veilframe.llm.common import blocks, fresh, release, text_of
 
 #: Words whose encodings a worker keeps from one block to the next; beyond that it starts afresh.
 CACHE_WORDS = 200_000
@@ -339,12 +339,13 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text", keep: list[str] |
     schema = df.select(*cols).schema
     for c in [c for c in (ids, decoded) if c]:
         schema = schema.add(c, "binary" if c == ids else "string")
-    source = df.select(*cols, text_of(text).alias("__text"))
+    own_text = fresh(df, "text")
+    source = df.select(*cols, text_of(text).alias(own_text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
-        for table in blocks(batches, "__text", 4_000_000):
-            got = list(own.encode(table.column("__text").to_pylist()))
+        for table in blocks(batches, own_text, 4_000_000):
+            got = list(own.encode(table.column(own_text).to_pylist()))
             data = [table.column(c).combine_chunks() for c in cols] + [pa.array([x for x, _ in got], pa.binary())]
             if decoded:
                 data.append(pa.array([x for _, x in got], pa.string()))
