@@ -7,8 +7,9 @@ K coordinates by its hash, and the earliest of a coordinate is the text's value
 probability of their weighted Jaccard; the work is linear in elements and darts, not elements times K.
 
 Texts that share a band of values are candidates. A bucket isn't expanded to pairs: its members are checked against its
-most central text first, links give classes, and only what is still apart in a bucket goes on, less the texts whose own
-elements show that no partner can be near enough, with more centres in each round until all is compared.
+most central text, its middle, first, and links give classes. What is still apart in a bucket goes on, with more centres in
+each round until all are. A pair is left out only where it can't be near: its elements that others have are too few, or the
+middle's elements that one has and the other lacks too many, or their distances from the middle differ too much.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.common import Scratch, release, text_of
+from veilframe.llm.common import Scratch, fresh, release, text_of
 
 #: Words of an element; least weighted Jaccard of near duplicates.
 SHINGLE, THRESHOLD = 5, 0.8
@@ -28,8 +29,13 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 25, 5
 #: Words and texts worked on at once.
 BLOCK_WORDS, BLOCK_TEXTS = 250_000, 500
-#: Centres of a bucket in the second round; four times as many in each one after.
-CENTRES = 8
+#: Centres of a bucket in the second round, and how many times as many in each one after.
+CENTRES, MORE = 8, 16
+#: Words of 64 bits that say which elements of a bucket's middle a text has.
+LONGS = 4
+BITS = [f"bits{j}" for j in range(LONGS)]
+#: Pairs of one text that a task gets together.
+SPREAD = 1_000
 
 #: Hash slots by which texts without a candidate partner are told apart before they would be moved.
 SLOTS = 1 << 18
@@ -191,19 +197,40 @@ def weighted_jaccard(a: np.ndarray, ac: np.ndarray, b: np.ndarray, bc: np.ndarra
     return both / (int(ac.sum()) + int(bc.sum()) - both)
 
 
-def verify(pairs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
-    """Of pairs a, b those whose weighted Jaccard is the threshold or more."""
+def spread(pairs: DataFrame, known: DataFrame, columns: list[str]) -> DataFrame:
+    """Pairs a, b with both texts' columns, named a_.. and b_..; the rows of a frequent b are dealt out with copies of its columns."""
+    often = pairs.groupBy("b").agg(F.count("*").alias("n")).filter(F.col("n") > SPREAD).select("b", F.ceil(F.col("n") / SPREAD).cast("int").alias("parts"))
+    side = lambda k: known.select(F.col("node").alias(k), *(F.col(c).alias(f"{k}_{c}") for c in columns))
+    parts = F.coalesce("parts", F.lit(1))
+    left = pairs.join(often, "b", "left").select("a", "b", F.pmod(F.xxhash64("a"), parts).cast("int").alias("part")).join(side("a"), "a")
+    right = side("b").join(often, "b", "left").select("b", *(f"b_{c}" for c in columns), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    return left.join(right, ["b", "part"])
+
+
+def compared(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs a, b with their weighted Jaccard, and which of b's first 64 * LONGS elements a has, a bit each."""
+    names = ["a", "b", "jaccard", *BITS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = [(c.values.to_numpy(), c.offsets.to_numpy()) for c in map(batch.column, ("ae", "ac", "be", "bc"))]
-            keep = [k for k in range(batch.num_rows) if weighted_jaccard(*[v[o[k] : o[k + 1]] for v, o in cols]) >= threshold]
-            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+            cols = [(c.values.to_numpy(), c.offsets.to_numpy()) for c in map(batch.column, ("a_elements", "a_counts", "b_elements", "b_counts"))]
+            found, bits = np.zeros(batch.num_rows), np.zeros((batch.num_rows, 64 * LONGS), bool)
+            for k in range(batch.num_rows):
+                a, ac, b, bc = (v[o[k] : o[k + 1]] for v, o in cols)
+                found[k] = weighted_jaccard(a, ac, b, bc)
+                some = b[: bits.shape[1]]
+                bits[k, : len(some)] = np.isin(some, a, assume_unique=True)
+            longs = np.packbits(bits, axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found), *(pa.array(np.ascontiguousarray(longs[:, j])) for j in range(LONGS))], names=names)
         release()
 
-    one = known.select(F.col("node").alias("a"), F.col("elements").alias("ae"), F.col("counts").alias("ac"))
-    two = known.select(F.col("node").alias("b"), F.col("elements").alias("be"), F.col("counts").alias("bc"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "ae", "ac", "be", "bc").mapInArrow(run, "a binary, b binary")
+    whole = spread(pairs, known, ["elements", "counts"]).select("a", "b", "a_elements", "a_counts", "b_elements", "b_counts")
+    return whole.mapInArrow(run, "a binary, b binary, jaccard double, " + ", ".join(f"{c} long" for c in BITS))
+
+
+def verify(pairs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+    """Of pairs a, b those whose weighted Jaccard is the threshold or more."""
+    return compared(pairs, known).filter(F.col("jaccard") >= threshold).select("a", "b")
 
 
 def fitted(rows: int, each: int = 100_000):
@@ -255,60 +282,79 @@ def _labels(docs: DataFrame, signed: DataFrame, threshold: float, scratch: Scrat
     """node, label of the texts that are linked to others."""
     texts = signed.filter("weight > 0").groupBy("node").agg(F.min(F.struct("doc_id", "weight", "bands")).alias("x")).select("node", "x.doc_id", "x.weight", F.explode("x.bands").alias("band"))
     shared = texts.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
-    members = scratch.keep(texts.join(shared, "band").select("band", "node", "doc_id", "weight", "size"))
-    # a text in large buckets stands in the middle of its near copies
-    centre = members.groupBy("node").agg(F.sum("size").alias("centre"), F.first("doc_id").alias("doc_id"))
-    centre = scratch.keep(centre)
-    wanted = centre.select(F.col("node").alias("n"), F.col("doc_id").alias("i"))
+    members = texts.join(shared, "band")
+    # one row for each text with its shared buckets; a text in large buckets stands in the middle of its near copies
+    nodes = scratch.keep(members.groupBy("node").agg(F.sum("size").alias("centre"), F.first("doc_id").alias("doc_id"), F.first("weight").alias("weight"), F.collect_list("band").alias("bands")))
+    wanted = nodes.select(F.col("node").alias("n"), F.col("doc_id").alias("i"))
     # what most texts fail is told without moving them: whether any wanted text has their slot; SLOTS rows at most
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
     some = docs.withColumn("slot", slot("node")).join(F.broadcast(wanted.select(slot("n").alias("slot")).distinct()), "slot", "left_semi")
     source = some.join(wanted, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("i"))).select("node", "text").dropDuplicates(["node"])
     known = scratch.keep(contents(source))
-    members = scratch.keep(members.drop("doc_id", "size").join(centre.drop("doc_id"), "node"))
     apart = F.least("aw", "bw") >= F.lit(threshold) * F.greatest("aw", "bw")
-    middle = members.groupBy("band").agg(F.max(F.struct("centre", "node", "weight")).alias("m")).select("band", F.col("m.node").alias("b"), F.col("m.weight").alias("bw"))
-    pairs = members.select("band", F.col("node").alias("a"), F.col("weight").alias("aw")).join(middle, "band").filter((F.col("a") != F.col("b")) & apart)
-    seen = scratch.keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    edges = scratch.keep(verify(seen, known, threshold))
-    labels, most = components(edges, scratch), CENTRES
-    bands = scratch.keep(members.groupBy("node").agg(F.array_sort(F.collect_list("band")).alias("bands")))
-    bound, left = None, members.select("band", "node", "weight")
+    each = scratch.keep(nodes.select("node", "weight", "centre", F.explode("bands").alias("band")))
+    middle = each.groupBy("band").agg(F.max(F.struct("centre", "node", "weight")).alias("m")).select("band", F.col("m.node").alias("b"), F.col("m.weight").alias("bw"))
+    pairs = scratch.keep(each.select("band", F.col("node").alias("a"), F.col("weight").alias("aw")).join(middle, "band").filter((F.col("a") != F.col("b")) & apart).select("band", "a", "b"))
+    first = scratch.keep(compared(pairs.select("a", "b").distinct(), known))
+    edges = first.filter(F.col("jaccard") >= threshold).select("a", "b")
+    # how far each text is from its bucket's middle, and what it has of it; unknown where the sizes alone keep them apart
+    far = pairs.join(first, ["a", "b"]).select("band", F.col("a").alias("node"), (1 - F.col("jaccard")).alias("far"), *BITS)
+    far = far.unionByName(middle.select("band", F.col("b").alias("node"), F.lit(0.0).alias("far")), allowMissingColumns=True)
+    labels, most, before = components(edges, scratch), CENTRES, 0
+    named = lambda x: x.join(labels.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").withColumn("label", F.coalesce("label", "node")).drop("n")
+    x = still_open(named(nodes.select("node", "weight", "bands")), scratch)
+    x = x.join(reachable(x, known, scratch), "node").filter(F.col("most") >= F.lit(threshold - 1e-9) * F.col("weight"))
+    x = still_open(x, scratch)
+    largest = x.agg(F.max(F.array_max(F.col("buckets.size")))).first()[0]
+    if largest is None:
+        return labels
+    # a text's place in each of its buckets: its centres are those with the first places
+    place = F.pmod(F.xxhash64("band", "node"), F.lit(1 << 30)) * F.col("size") / float(1 << 30)
+    rows = x.select("node", "weight", "most", F.col("buckets.band").alias("bands"), F.explode("buckets").alias("in")).select("*", "in.band", "in.size").drop("in")
+    rows = scratch.keep(rows.join(far, ["band", "node"], "left").select("band", "node", "weight", "most", "bands", "far", *BITS, place.alias("place")))
+    scratch.drop(each, pairs)
     while True:
-        fit = fitted(left.count())
-        x = fit(left.join(labels.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")).select("band", "node", "weight", F.coalesce("label", "node").alias("label"))
-        x = scratch.keep(x.join(still_open(x, fit).select("band"), "band"))
-        fit = fitted(x.count())
-        if bound is None:  # weight that some other of these texts could share
-            inside = known.join(fit(x.select("node").distinct()), "node").select("node", F.explode(F.arrays_zip("elements", "counts")).alias("e")).select("node", F.col("e.elements").alias("element"), F.col("e.counts").alias("n"))
-            common = inside.groupBy("element").agg(F.count("*").alias("df")).filter("df > 1").select("element")
-            bound = scratch.keep(inside.join(common, "element").groupBy("node").agg(F.sum("n").alias("most")).join(bands, "node"))
-        x = fit(x.join(bound, "node")).filter(F.col("most") >= F.lit(threshold - 1e-9) * F.col("weight"))
-        x = scratch.keep(fit(x.join(still_open(x, fit), "band")))
-        largest = x.agg(F.max("size")).first()[0]
-        if largest is None:
-            return labels
-        left = x.select("band", "node", "weight")
-        pick = F.pmod(F.xxhash64("band", "node"), F.lit(1 << 30)) < F.lit(float(most << 30)) / F.col("size")
-        a = x.select("band", F.col("node").alias("a"), F.col("weight").alias("aw"), F.col("label").alias("al"), F.col("most").alias("am"), F.col("bands").alias("ab"), pick.alias("ap"))
-        b = x.filter(pick).select(F.col("band").alias("band2"), F.col("node").alias("b"), F.col("weight").alias("bw"), F.col("label").alias("bl"), F.col("most").alias("bm"), F.col("bands").alias("bb"))
-        fits = (F.col("band") == F.col("band2")) & (F.col("al") != F.col("bl")) & (F.least("am", "bm") >= F.lit((threshold - 1e-9) / (1 + threshold)) * (F.col("aw") + F.col("bw")))
-        # once for each pair: two centres meet one way round, and in their first common bucket
-        fits &= (~F.col("ap") | (F.col("a") < F.col("b"))) & (F.array_min(F.array_intersect("ab", "bb")) == F.col("band"))
-        pairs = a.join(b, fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        new = scratch.keep(pairs.join(seen, ["a", "b"], "left_anti"))
+        now = named(rows)
+        side = lambda k, own=now: own.select("band", *(F.col(c).alias(f"{k}_{c}") for c in ("node", "weight", "most", "bands", "far", *BITS, "place", "label")))
+        # links of other texts with one centre at least, none of which was a centre before, each pair in its first common bucket
+        # what both can share: what other texts have of one, less the middle's elements that it has and the other lacks
+        lacks = lambda k, o: sum((F.bit_count(F.col(f"{k}_{c}").bitwiseAND(F.bitwise_not(f"{o}_{c}"))) for c in BITS), F.lit(0))
+        share = F.least(*(F.col(f"{k}_most") - F.coalesce(lacks(k, o), F.lit(0)) for k, o in ("ab", "ba")))
+        fits = (F.col("a_label") != F.col("b_label")) & (share >= F.lit((threshold - 1e-9) / (1 + threshold)) * (F.col("a_weight") + F.col("b_weight")))
+        fits &= (F.col("a_place") >= before) & ((F.col("a_place") >= most) | (F.col("a_node") < F.col("b_node")))
+        fits &= F.array_min(F.array_intersect("a_bands", "b_bands")) == F.col("band")
+        # the distance 1 - Jaccard keeps the triangle's inequality
+        fits &= ~F.coalesce(F.abs(F.col("a_far") - F.col("b_far")) > 1 - threshold + 1e-9, F.lit(False))
+        b = side("b").filter((F.col("b_place") >= before) & (F.col("b_place") < most)).withColumnRenamed("band", "b_band")
+        new = scratch.keep(side("a").join(b, (F.col("band") == F.col("b_band")) & fits).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")))
         more = scratch.keep(verify(new, known, threshold))
         if not more.isEmpty():
             edges = scratch.keep(edges.unionByName(more))
             labels = components(edges, scratch)
         if largest <= most:  # all members were centres
             return labels
-        seen, most = scratch.keep(seen.unionByName(new)), most * 4
+        before, most = most, most * MORE
+
 
+def still_open(x: DataFrame, scratch: Scratch) -> DataFrame:
+    """x's texts that are in buckets whose members have several labels, with those buckets and their sizes; one row a text.
+
+    x has bands, or such buckets from before.
+    """
+    kept = [c for c in x.columns if c not in ("bands", "buckets")]
+    x = scratch.keep(x.select(*kept, F.col("buckets.band").alias("bands")) if "buckets" in x.columns else x)
+    fit = fitted(x.count(), 10_000)
+    each = x.select("node", "label", F.explode("bands").alias("band"))
+    mixed = each.groupBy("band").agg(F.count("*").alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("band", "size")
+    cut = each.select("node", "band").join(mixed, "band").groupBy("node").agg(F.collect_list(F.struct("band", "size")).alias("buckets"))
+    return scratch.keep(fit(x.select(*kept).join(cut, "node")))
 
-def still_open(x: DataFrame, fit) -> DataFrame:
-    """band, size: buckets whose members have several labels."""
-    return fit(x.groupBy("band").agg(F.count("*").alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi"))).filter("lo != hi").select("band", "size")
+
+def reachable(x: DataFrame, known: DataFrame, scratch: Scratch) -> DataFrame:
+    """node, most: the weight of a text's elements that texts of another label have too; no link to one can hold more."""
+    inside = known.join(x.select("node", "label"), "node").select("node", "label", F.explode(F.arrays_zip("elements", "counts")).alias("e")).select("node", "label", F.col("e.elements").alias("element"), F.col("e.counts").alias("n"))
+    common = inside.groupBy("element").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("element")
+    return scratch.keep(inside.join(common, "element").groupBy("node").agg(F.sum("n").alias("most")))
 
 
 def near_duplicates(df: DataFrame) -> DataFrame:
@@ -317,12 +363,17 @@ def near_duplicates(df: DataFrame) -> DataFrame:
 
 
 def deduplicate(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """df's rows less all but one document of each class, with df's columns. Of rows equal in id and text one stays."""
-    found = cluster(df, doc_id=doc_id, text=text)
-    keep = Scratch(df.sparkSession, "kept").keep(found.filter("keeper").select(F.col("doc_id").alias("__i"), F.col("node").alias("__n")))
-    repeated = not keep.groupBy("__i", "__n").count().filter("count > 1").isEmpty()
-    keyed = df.withColumn("__node", F.unhex(F.md5(text_of(text).cast("binary"))))
-    out = keyed.join(keep.distinct() if repeated else keep, (F.col("__node") == F.col("__n")) & F.col(doc_id).cast("long").eqNullSafe(F.col("__i")), "left_semi")
+    """df's rows less all but one document of each class, with df's columns. Of rows equal in id and text one stays.
+
+    doc_id may be of any type that has an order; only whole numbers keep theirs, others are ordered by their hash.
+    """
+    i, n, own = fresh(df, "i"), fresh(df, "n"), fresh(df, "node")
+    number = F.col(doc_id).cast("long") if df.schema[doc_id].dataType.typeName() in ("byte", "short", "integer", "long") else F.when(F.col(doc_id).isNotNull(), F.xxhash64(doc_id))
+    keyed = df.withColumn(own, F.unhex(F.md5(text_of(text).cast("binary"))))
+    found = cluster(keyed.select(number.alias("doc_id"), text_of(text).alias("text")))
+    keep = Scratch(df.sparkSession, "kept").keep(found.filter("keeper").select(F.col("doc_id").alias(i), F.col("node").alias(n)))
+    repeated = not keep.groupBy(i, n).count().filter("count > 1").isEmpty()
+    out = keyed.join(keep.distinct() if repeated else keep, (F.col(own) == F.col(n)) & number.eqNullSafe(F.col(i)), "left_semi")
     if repeated:
-        out = out.dropDuplicates([doc_id, "__node"])
-    return out.drop("__node")
+        out = out.dropDuplicates([doc_id, own])
+    return out.drop(own)
