@@ -20,7 +20,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """doc_id, text with surrogates, n_entities: one row for each document."""
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.secret())
 
 
 def op2_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
