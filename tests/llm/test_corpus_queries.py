@@ -108,7 +108,7 @@ def test_pieces_equal_plain_python(monkeypatch):
     rows, numbers = toxicity.Finder(some).find(data, offsets)
     want = [(r, k) for r, x in enumerate(own) for k in sorted(np.flatnonzero(np.isin(some, np.array([number(b) for b in x], np.uint64))))]
     assert list(zip(rows, numbers, strict=True)) == want
-    monkeypatch.setattr(toxicity, "CHUNK", 1 << 20)
+    monkeypatch.setattr(toxicity, "CHUNK", 1 << 18)
     ((found, n),) = toxicity.pieces(data, offsets)
     assert dict(zip(found.tolist(), n.tolist(), strict=True)) == {v: sum(any(number(b) == v for b in x) for x in own) for v in values.tolist()}
 

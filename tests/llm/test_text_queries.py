@@ -57,9 +57,9 @@ def test_library_encoder_equals_the_library(word, monkeypatch):
 
 
 def test_trie_bpe_keeps_other_columns(spark):
-    df = spark.createDataFrame([(1, "a b", "c")], "doc_id long, text string, ids string")
+    df = spark.createDataFrame([(1, "a b", "c", "d")], "doc_id long, text string, ids string, N_tokens string")
     out = trie_bpe.encode(df, public_tokenizers.path("word_bpe_49k.json"))
-    assert out.columns == ["doc_id", "text", "ids", "decoded"]
+    assert out.columns == ["doc_id", "text", "n_tokens", "ids", "decoded"]
     assert out.first().decoded == "a</w> b</w>"
     assert trie_bpe.encode(df.limit(0), public_tokenizers.path("word_bpe_49k.json")).count() == 0
 

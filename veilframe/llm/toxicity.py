@@ -29,7 +29,7 @@ SIZES = (4, 5, 6, 8)
 #: A row in FOLDS is held out; of the others, one in TUNING sets the threshold.
 FOLDS, TUNING = 5, 4
 #: Bytes looked at at once.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _BITS = 22
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)

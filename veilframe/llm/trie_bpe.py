@@ -11,6 +11,7 @@ tokens at the border over time are the right spine of the left token's merge tre
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os.path
 import re
@@ -213,6 +214,7 @@ class TrieEncoder:
 
     def forget(self) -> None:
         self.ids, self.text = {}, {}
+        self.table.pairs.clear()
 
     def pieces(self, text: str) -> list[str | int]:
         """Pieces between white space, and special tokens as their ids."""
@@ -297,7 +299,6 @@ class LibraryEncoder(TrieEncoder):
             self.coded.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, self.tok.encode_batch(part, add_special_tokens=False), strict=True))
 
     def forget(self) -> None:
-        super().forget()
         self.coded, self.often = {}, set()
 
     def encode_ids(self, texts: list[str]) -> Iterator[bytes]:
@@ -328,28 +329,37 @@ def encoder(path: str, kind: type = TrieEncoder) -> TrieEncoder:
     return _ENCODERS[kind, path]
 
 
-def encode(df: DataFrame, tokenizer: str, text: str = "text", keep: list[str] | None = None, ids: str = "ids", decoded: str | None = "decoded") -> DataFrame:
-    """Adds each text's ids (BINARY, little-endian unsigned 32-bit) and, if named, its decoded text.
+def encode(df: DataFrame, tokenizer: str, text: str = "text", keep: list[str] | None = None, ids: str | None = "ids", decoded: str | None = "decoded", ids_sha256: str | None = None, decoded_sha256: str | None = None) -> DataFrame:
+    """Adds each text's ids (BINARY, little-endian unsigned 32-bit), its decoded text, or their SHA-256 in hexadecimal, if named.
 
-    keep: columns of df to return besides; all if None. A column of df named as an output is dropped. Null text counts as
-    empty and has no ids; its decoded text is empty. Equal rows stay as they are, one result each. Rows keep their order
-    within a partition. Texts are handled in blocks of bounded size; no shuffle.
+    keep: columns of df to return besides; all if None. A column of df named as an output is dropped. n_tokens is always
+    added. Null text counts as empty and has no ids; its decoded text is empty. Equal rows stay as they are, one result each.
+    Rows keep their order within a partition. Texts are handled in blocks of bounded size; no shuffle.
     """
-    cols = [c for c in (df.columns if keep is None else keep) if c not in (ids, decoded)]
+    kinds = {ids: "binary", decoded: "string", ids_sha256: "string", decoded_sha256: "string"}
+    outs = {"n_tokens": "long", **{c: k for c, k in kinds.items() if c}}
+    cols = [c for c in (df.columns if keep is None else keep) if c.lower() not in [o.lower() for o in outs]]
     schema = df.select(*cols).schema
-    for c in [c for c in (ids, decoded) if c]:
-        schema = schema.add(c, "binary" if c == ids else "string")
+    for c, kind in outs.items():
+        schema = schema.add(c, kind)
     own_text = fresh(df, "text")
     source = df.select(*cols, text_of(text).alias(own_text))
+    sha = lambda x: hashlib.sha256(x).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
-        for table in blocks(batches, own_text, 4_000_000):
+        for table in blocks(batches, own_text, 2_000_000):
             got = list(own.encode(table.column(own_text).to_pylist()))
-            data = [table.column(c).combine_chunks() for c in cols] + [pa.array([x for x, _ in got], pa.binary())]
+            data = {"n_tokens": pa.array([len(x) // 4 for x, _ in got], pa.int64())}
+            if ids:
+                data[ids] = pa.array([x for x, _ in got], pa.binary())
             if decoded:
-                data.append(pa.array([x for _, x in got], pa.string()))
-            yield from pa.Table.from_arrays(data, names=[*cols, ids, *([decoded] if decoded else [])]).to_batches(max_chunksize=2000)
+                data[decoded] = pa.array([x for _, x in got], pa.string())
+            if ids_sha256:
+                data[ids_sha256] = pa.array([sha(x) for x, _ in got], pa.string())
+            if decoded_sha256:
+                data[decoded_sha256] = pa.array([sha(x.encode()) for _, x in got], pa.string())
+            yield from pa.Table.from_arrays([*(table.column(c).combine_chunks() for c in cols), *(data[c] for c in outs)], names=[*cols, *outs]).to_batches(max_chunksize=500)
         own.forget()
         release()
 
@@ -358,7 +368,4 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text", keep: list[str] |
 
 def digests(df: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each document."""
-    coded = encode(df, tokenizer, keep=["doc_id"])
-    return coded.select(
-        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2(F.col("ids"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
-    )
+    return encode(df, tokenizer, keep=["doc_id"], ids=None, decoded=None, ids_sha256="ids_sha256", decoded_sha256="decoded_sha256")
