@@ -14,16 +14,14 @@ from pyspark.sql import functions as F
 from veilframe.llm import dart_minhash, mixing, pii, toxicity, trie_bpe
 from veilframe.llm.common import Scratch, small_batches
 
-#: The tokenizer of the last stage, and the key of surrogates.
+#: The tokenizer of the last stage.
 TOKENIZER = os.environ.get("VEILFRAME_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
-KEY = os.environ.get("VEILFRAME_PII_KEY", "veilframe").encode()
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score under 0.5, by a classifier of this input's examples."""
     small_batches(spark)
-    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).filter("predicted = 0").select(*docs.columns)
+    return toxicity.clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +33,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with surrogates; n_chars is that of the new text."""
     small_batches(spark)
-    out = pii.pseudonymise(docs, KEY, count=None)
-    return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long"))).select(*docs.columns)
+    out = pii.pseudonymise(docs, pii.secret(), count=None)
+    size = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long"))
+    return out.withColumn("n_chars", size).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's token ids (little-endian unsigned 32-bit), their number and the decoded text's digest."""
     small_batches(spark)
-    coded = trie_bpe.encode(docs, TOKENIZER, keep=["doc_id", "source"])
-    return coded.select("doc_id", "source", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    return trie_bpe.encode(docs, TOKENIZER, keep=["doc_id", "source"], decoded=None, decoded_sha256="decoded_sha256")
 
 
 STAGES = [("toxicity", drop_toxic), ("near_dedup", drop_near_copies), ("pii", replace_personal_data), ("mixing", mix_sources), ("bpe", encode)]
