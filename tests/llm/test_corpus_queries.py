@@ -66,6 +66,18 @@ def test_ranks_and_verdicts_follow_links(spark):
     assert {h: r.verdict for h, r in got.items()} == {"a.org": "allow", "b.net": "allow", "c.net": "allow", "x.net": "block", "bad.com": "block", "y.net": "block"}
 
 
+def test_ranks_reach_the_end_of_a_long_chain(spark):
+    """A host 30 links from a blocked seed, and none from a trusted one, is blocked; ranks are those of a linear system."""
+    n = 30
+    rows = [(i, f"http://h{i}.net/q", f"<a href='http://h{i + 1}.net/'>") for i in range(n)] + [(n, f"http://h{n}.net/q", "<a href='http://bad.com/de/q'>"), (n + 1, "http://bad.com/de/q", None), (n + 2, "http://alone.net/", None), (n + 3, None, "x")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.host: r for r in url_trust.judge(df).collect()}
+    assert [h for h, r in got.items() if r.verdict == "allow"] and {h for h, r in got.items() if r.verdict == "allow"} == {"alone.net", ""}
+    want = {"bad.com": 0.15} | {f"h{n - k}.net": 0.15 * 0.85 ** (k + 1) for k in range(n + 1)}
+    total = sum(want.values())
+    assert all(got[h].distrust == pytest.approx(x / total, abs=1e-6) for h, x in want.items())
+
+
 def test_toxicity_finds_held_out(spark):
     sf = "/root/testdata/sf0.1"  # enough examples of each language
     got = queries.op4_toxicity(spark, sf).toPandas()

@@ -66,29 +66,37 @@ def host_edges(pages: DataFrame, html: str = "html") -> DataFrame:
     return found.select("src", dst.alias("dst")).filter("src != '' AND dst != '' AND src != dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def personal_rank(seeds: DataFrame, edges: DataFrame, scratch: Scratch, damping: float = 0.85, rounds: int = 20, cut: int = 5) -> DataFrame:
+def personal_rank(seeds: DataFrame, edges: DataFrame, scratch: Scratch, damping: float = 0.85, rounds: int | None = None, cut: int = 5, least: float = 1e-7) -> DataFrame:
     """host, rank: PageRank over src, dst, n that restarts at host, mass (summing to 1).
 
-    What hosts without links hold isn't moved on; ranks are scaled to sum to 1 at the end. Lineage is cut every `cut` rounds
-    by a table.
+    What hosts without links hold isn't moved on; ranks are scaled to sum to 1 at the end. Without a number of rounds it goes
+    on until `cut` rounds change less than `least` of all mass and reach no new host. Lineage is cut every `cut` rounds.
     """
     if edges.isEmpty():
         return seeds.select("host", F.col("mass").alias("rank"))
     out = edges.groupBy("src").agg(F.sum("n").alias("all"))
     steps = scratch.keep(edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("all")).alias("share")))
     rank = seeds.select("host", F.col("mass").alias("rank"))
-    for k in range(rounds):
+    k, before = 0, None
+    while rounds is None or k < rounds:
         moved = rank.join(steps, rank["host"] == steps["src"]).select(F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank"))
         restart = seeds.select("host", (F.col("mass") * (1 - damping)).alias("rank"))
         rank = moved.unionByName(restart).groupBy("host").agg(F.sum("rank").alias("rank"))
-        if (k + 1) % cut == 0 and k + 1 < rounds:
+        k += 1
+        if k % cut == 0:
             rank = scratch.keep(rank)
+            if rounds is None and before is not None:
+                both = rank.join(before.withColumnRenamed("rank", "old"), "host", "left")
+                change, new = both.agg(F.sum(F.abs(F.col("rank") - F.coalesce("old", F.lit(0.0)))), F.count_if(F.col("old").isNull())).first()
+                if not new and (change or 0.0) <= least:
+                    break
+            before = rank
     rank = scratch.keep(rank)
     total = rank.agg(F.sum("rank")).first()[0] or 1.0
     return rank.withColumn("rank", F.col("rank") / F.lit(total))
 
 
-def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, ratio: float = 1.0, damping: float = 0.85, rounds: int = 20, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, ratio: float = 1.0, damping: float = 0.85, rounds: int | None = None, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust: one row for each page.
 
     Where no rule fits, the host's verdict holds: block if distrust > ratio * trust, else allow; so a host that neither
