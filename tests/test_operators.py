@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from veilframe.functions import kernels
-from veilframe.operators import annotations, assign, boxes, decide, execute, ledger, manifest, redact, text
+from veilframe.operators import annotations, assign, audit, boxes, decide, execute, ledger, manifest, redact, text
 from veilframe.operators.boxes import Box
 from veilframe.sources import adapters, files
 from veilframe.streaming import ledger as stream
@@ -205,6 +205,30 @@ def test_listing_and_csv(spark, tmp_path):
     assert files.read_manifest(spark, str(tmp_path / "m.csv"), "windows-1252").first().object_name == "é.tif"
 
 
+def test_code_page_beyond_latin(spark, tmp_path):
+    names = ["€–“x”.tif", "Š…œž.tif"]
+    (tmp_path / "m.csv").write_bytes(("object_name,subject_id\n" + "".join(f"{n},1\n" for n in names)).encode("cp1252"))
+    assert [r.object_name for r in files.read_manifest(spark, str(tmp_path / "m.csv"), "cp1252").collect()] == names
+
+
+def test_resolution_takes_each_axis_with_its_own_ratio(spark):
+    pages = spark.createDataFrame([(1, 2000, 1000), (2, 1000, 1000), (3, 1000, 4000)], "page_no int, width int, height int")
+    corners = spark.createDataFrame([(1, 1200, 0), (2, 1000, 1000), (3, 0, 300)], "page_no int, max_xtl int, max_ytl int")
+    got = {r.page_no: (r.redo, r.over) for r in audit.resolution_qa(pages, corners, 1000, 1000).collect()}
+    assert got == {1: (True, False), 2: (False, False), 3: (True, False)}
+
+
+def test_unknown_questionnaires_and_unreadable_files(spark):
+    rows = [("a", "x", 1, 1), ("b", "y", 0, 1), ("b", "z", None, 1)]
+    df = spark.createDataFrame(rows, "subject_id string, object_name string, n_pages int, questionnaire int")
+    assert [r.subject_id for r in decide.extraction_plan(df).collect()] == ["a"]
+    assert [r.subject_id for r in decide.unreadable(df).collect()] == ["b"]
+    for q in (99, None):
+        bad = spark.createDataFrame([("a", "x", 1, q)], "subject_id string, object_name string, n_pages int, questionnaire int")
+        with pytest.raises(Exception, match="no profile of questionnaire"):
+            decide.extraction_plan(bad).collect()
+
+
 def test_stream_of_ledgers(spark, tmp_path):
     src, out, chk = (str(tmp_path / n) for n in ("in", "out", "chk"))
     df = spark.createDataFrame([("a", "success"), ("b", "failed")], "subject_id string, status string")

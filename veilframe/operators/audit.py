@@ -44,12 +44,14 @@ def worst_corners(boxes: DataFrame) -> DataFrame:
 
 
 def resolution_qa(pages: DataFrame, corners: DataFrame, template_w: float, template_h: float) -> DataFrame:
-    """page_no, ratio, redo, over: a page is redone when a worst corner, scaled, lies beyond it; over: ratio above 1.5.
+    """page_no, ratio, redo, over: a page is redone when a worst corner lies beyond the template's side times its ratio to the
+    scan's, on either axis; over: a ratio above 1.5.
 
-    pages: page_no, width, height of the scans. The ratio is the template's width to the scan's, or the heights', the larger.
+    pages: page_no, width, height of the scans. The ratio shown is the larger of both axes.
     """
-    ratio = F.greatest(F.lit(template_w) / F.col("width"), F.lit(template_h) / F.col("height"))
-    redo = (F.col("max_xtl") > F.col("width") * ratio) | (F.col("max_ytl") > F.col("height") * ratio) | (F.col("max_xtl") > F.col("width")) | (F.col("max_ytl") > F.col("height"))
+    x, y = F.lit(float(template_w)) / F.col("width"), F.lit(float(template_h)) / F.col("height")
+    ratio = F.greatest(x, y)
+    redo = (F.col("max_xtl") > F.lit(float(template_w)) * x) | (F.col("max_ytl") > F.lit(float(template_h)) * y)
     return pages.join(corners, "page_no").select("page_no", F.round(ratio, 6).alias("ratio"), redo.alias("redo"), (ratio > 1.5).alias("over"))
 
 

@@ -27,10 +27,11 @@ def extraction_plan(files: DataFrame, key: str = "subject_id") -> DataFrame:
     files: key, object_name, n_pages (0: unreadable), questionnaire. Files stand in the questionnaire's order, names ascending
     or else descending. The largest file of several pages (the first of equal ones) gives its pages, twice the expected number
     at most, from the last one in other than alphabetical order; single pages follow if that file is short of the expected
-    number. Subjects without a readable file are left out; see `unreadable`.
+    number. Subjects without a readable file are left out; see `unreadable`. An unknown questionnaire is an error.
     """
     alpha = F.col("ord") == "alphabetical"
-    x = files.withColumn("expected", _profile(F.col("questionnaire"), 1)).withColumn("ord", _profile(F.col("questionnaire"), 2))
+    unknown = F.raise_error(F.concat(F.lit("no profile of questionnaire "), F.coalesce(F.col("questionnaire").cast("string"), F.lit("null"))))
+    x = files.withColumn("expected", F.coalesce(_profile(F.col("questionnaire"), 1), unknown.cast("int"))).withColumn("ord", _profile(F.col("questionnaire"), 2))
     up, down = Window.partitionBy(key).orderBy("object_name"), Window.partitionBy(key).orderBy(F.desc("object_name"))
     x = x.withColumn("place", F.when(alpha, F.row_number().over(up)).otherwise(F.row_number().over(down)))
     many = F.col("n_pages") > 1
@@ -45,8 +46,8 @@ def extraction_plan(files: DataFrame, key: str = "subject_id") -> DataFrame:
 
 
 def unreadable(files: DataFrame, key: str = "subject_id") -> DataFrame:
-    """Subjects none of whose files could be read."""
-    return files.groupBy(key).agg(F.max("n_pages").alias("m")).filter("m = 0").select(key)
+    """Subjects none of whose files could be read: no pages, or null."""
+    return files.groupBy(key).agg(F.max(F.coalesce("n_pages", F.lit(0))).alias("m")).filter("m = 0").select(key)
 
 
 def zip_pairs(pages: DataFrame, templates: DataFrame, key: str = "subject_id") -> DataFrame:

@@ -45,7 +45,7 @@ def nearest(costs: DataFrame, k: int = 2, key: str = "subject_id") -> DataFrame:
     return costs.withColumn("place", F.row_number().over(w).cast("long")).filter(F.col("place") <= k)
 
 
-def ratio_test(costs: DataFrame, ratio: float = 0.75, key: str = "subject_id") -> DataFrame:
+def ratio_test(costs: DataFrame, ratio: float = 0.7, key: str = "subject_id") -> DataFrame:
     """Pages whose cheapest template costs less than ratio times the second one."""
     x = nearest(costs, 2, key).groupBy(key, "page_no").agg(F.min_by("template_no", "place").alias("template_no"), F.min("cost").alias("cost"), F.max("cost").alias("second"), F.count("*").alias("n"))
     return x.filter((F.col("n") == 2) & (F.col("cost") < F.lit(ratio) * F.col("second"))).drop("n")

@@ -73,7 +73,7 @@ def box_worst_corner(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resolution_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     corners = audit.worst_corners(_boxes(spark, sf_dir))
-    pages = corners.select("page_no", (F.col("page_no") % 7 * 100 + 200).alias("width"), (F.col("page_no") % 5 * 100 + 200).alias("height"))
+    pages = corners.select("page_no", (F.col("page_no") % 7 * 2000 + 400).alias("width"), (F.col("page_no") % 5 * 2000 + 400).alias("height"))
     return audit.resolution_qa(pages, corners, W, H)
 
 
@@ -206,9 +206,9 @@ FROM b i JOIN b o ON i.page_no = o.page_no AND i.label = 'censor-close' AND o.la
     (
         resolution_qa,
         _QA := P.with_views(
-            """, c AS (SELECT page_no, coalesce(max(xtl) FILTER (label = 'censor'), 0) AS mx, coalesce(max(ytl) FILTER (label = 'censor'), 0) AS my, page_no % 7 * 100 + 200 AS w, page_no % 5 * 100 + 200 AS h FROM p GROUP BY 1),
-  r AS (SELECT *, greatest(1000.0::DOUBLE / w, 1000.0::DOUBLE / h) AS ratio FROM c)
-SELECT page_no, round(ratio, 6) AS ratio, mx > w * ratio OR my > h * ratio OR mx > w OR my > h AS redo, ratio > 1.5 AS over FROM r""",
+            """, c AS (SELECT page_no, coalesce(max(xtl) FILTER (label = 'censor'), 0) AS mx, coalesce(max(ytl) FILTER (label = 'censor'), 0) AS my, page_no % 7 * 2000 + 400 AS w, page_no % 5 * 2000 + 400 AS h FROM p GROUP BY 1),
+  r AS (SELECT *, 1000.0::DOUBLE / w AS rx, 1000.0::DOUBLE / h AS ry FROM c)
+SELECT page_no, round(greatest(rx, ry), 6) AS ratio, mx > 1000 * rx OR my > 1000 * ry AS redo, rx > 1.5 OR ry > 1.5 AS over FROM r""",
             p=P.BOX,
         ),
     ),

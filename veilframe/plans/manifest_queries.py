@@ -115,7 +115,7 @@ def ledger_speed_up(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _done(spark, sf_dir):
-    return ledger.with_status(_ledger(spark, sf_dir)).filter("ingest_pos % 50 = 0")
+    return ledger.with_status(_ledger(spark, sf_dir))
 
 
 def ledger_mark_used(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,8 +218,8 @@ SELECT side, count(*) AS n, array_to_string(list_slice(list(object_name ORDER BY
     (ledger_top5, P.with_views(" SELECT ingest_pos, subject_id, status, secs FROM l ORDER BY secs DESC NULLS LAST, ingest_pos LIMIT 5", l=P.LEDGER)),
     (ledger_time_stats, P.with_views(" SELECT round(avg(secs), 6) AS mean_secs, count_if(secs > 100) AS n_over, count(secs) AS n_timed FROM l", l=P.LEDGER)),
     (ledger_speed_up, "WITH r AS (SELECT CAST(n_regionkey + 1 AS BIGINT) AS workers, 1000.0 / (min(n_nationkey) + 1) AS secs FROM nation GROUP BY 1), s AS (SELECT workers, CAST(secs AS DOUBLE) AS secs, CAST(first_value(secs) OVER (ORDER BY workers) AS DOUBLE) / secs AS speed_up FROM r) SELECT workers, round(secs, 6) AS secs, round(speed_up, 6) AS speed_up, round(100 * speed_up / workers, 6) AS efficiency FROM s"),
-    (ledger_mark_used, P.with_views(_PREPARED + " SELECT subject_id, object_name, subject_id IN (SELECT subject_id FROM l WHERE status = 'success' AND ingest_pos % 50 = 0) AS used FROM prep", m=P.MANIFEST, l=P.LEDGER)),
-    (remaining_work, P.with_views(_PREPARED + " SELECT subject_id, object_name FROM prep WHERE subject_id NOT IN (SELECT subject_id FROM l WHERE status = 'success' AND ingest_pos % 50 = 0)", m=P.MANIFEST, l=P.LEDGER)),
+    (ledger_mark_used, P.with_views(_PREPARED + " SELECT subject_id, object_name, subject_id IN (SELECT subject_id FROM l WHERE status = 'success') AS used FROM prep", m=P.MANIFEST, l=P.LEDGER)),
+    (remaining_work, P.with_views(_PREPARED + " SELECT subject_id, object_name FROM prep WHERE subject_id NOT IN (SELECT subject_id FROM l WHERE status = 'success')", m=P.MANIFEST, l=P.LEDGER)),
     (shard_contiguous, "WITH r AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS r, count(*) OVER () AS n FROM customer) SELECT c_custkey, CAST(CASE WHEN n < 7 THEN 6 ELSE least(floor((r - 1) / floor(n / 7)), 6) END AS BIGINT) AS shard FROM r"),
     (shard_strided, "SELECT c_custkey, CAST((row_number() OVER (ORDER BY c_custkey) - 1) % 7 AS BIGINT) AS shard FROM customer"),
     (sample_subjects, None),
@@ -243,7 +243,7 @@ SELECT subject_id, CAST(row_number() OVER (PARTITION BY subject_id ORDER BY NOT
             f=P.FILES,
         ),
     ),
-    (unreadable_subjects, P.with_views(" SELECT subject_id FROM f GROUP BY 1 HAVING max(n_pages) = 0", f=P.FILES)),
+    (unreadable_subjects, P.with_views(" SELECT subject_id FROM f GROUP BY 1 HAVING max(coalesce(n_pages, 0)) = 0", f=P.FILES)),
     (
         decision_policy,
         P.with_views(

@@ -24,7 +24,7 @@ CROSS JOIN (VALUES (0),(1),(2),(3),(4),(5)) AS k(k)
 WHERE (u.user_id + k.k) % 4 <> 0"""
 LEDGER = """
 SELECT o_orderkey AS ingest_pos, 'S' || (o_custkey % 500) AS subject_id,
-  CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'failed' ELSE 'timeout' END AS status,
+  CASE WHEN o_orderstatus = 'F' AND o_custkey % 7 < 2 AND o_custkey % 500 % 3 = 0 THEN 'success' WHEN o_orderstatus = 'P' THEN 'timeout' ELSE 'failed' END AS status,
   CASE WHEN o_orderstatus = 'P' THEN NULL ELSE round(o_totalprice / 1000, 3) END AS secs
 FROM {orders}"""
 BOX = """
@@ -41,7 +41,7 @@ SELECT CAST(floor(vec_id / 6) AS BIGINT) AS subject_id, vec_id % 6 AS k, embeddi
 FROM {embeddings} WHERE vec_id < 6 * (SELECT CAST(floor(count(*) / 6) AS BIGINT) FROM {embeddings})"""
 FILES = """
 SELECT CAST(floor(c_custkey / 4) AS BIGINT) AS subject_id, 'f_' || c_custkey || '.pdf' AS object_name,
-  CASE WHEN c_custkey % 11 = 0 THEN 0 WHEN c_custkey % 5 = 0 THEN 3 + c_custkey % 4 ELSE 1 END AS n_pages,
+  CASE WHEN CAST(floor(c_custkey / 4) AS BIGINT) % 17 = 0 THEN CASE WHEN c_custkey % 4 = 1 THEN NULL ELSE 0 END WHEN c_custkey % 11 = 0 THEN 0 WHEN c_custkey % 5 = 0 THEN 3 + c_custkey % 4 ELSE 1 END AS n_pages,
   1 + CAST(floor(c_custkey / 4) AS BIGINT) % 13 AS questionnaire
 FROM {customer}"""
 OUTCOME = """

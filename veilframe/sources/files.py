@@ -38,10 +38,22 @@ def list_folders(files: DataFrame, hidden: bool = False) -> DataFrame:
     return (x if hidden else x.filter(~F.col("folder").rlike(r"/[.]"))).orderBy("folder")
 
 
+#: The characters that windows-1252 has where ISO-8859-1 has the controls 0x80 to 0x9F, by its definition.
+_CP1252 = {chr(b): bytes([b]).decode("cp1252") for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+
+
 def read_manifest(spark: SparkSession, path: str, encoding: str = "UTF-8", schema: str | None = MANIFEST_SCHEMA) -> DataFrame:
-    """A CSV with a header; legacy code pages by their name, such as windows-1252."""
-    r = spark.read.option("header", True).option("encoding", encoding)
-    return (r.schema(schema) if schema else r).csv(path)
+    """A CSV with a header; legacy code pages by their name.
+
+    Spark reads few code pages; windows-1252 (cp1252) is read as ISO-8859-1, the characters that differ are put in after.
+    """
+    windows = encoding.lower().replace("_", "-") in ("windows-1252", "cp1252")
+    r = spark.read.option("header", True).option("encoding", "ISO-8859-1" if windows else encoding)
+    x = (r.schema(schema) if schema else r).csv(path)
+    if not windows:
+        return x
+    text = lambda c: F.translate(F.col(f"`{c}`"), "".join(_CP1252), "".join(_CP1252.values())).alias(c)
+    return x.select(*(text(c) if kind == "string" else F.col(f"`{c}`") for c, kind in x.dtypes))
 
 
 def read_ledgers(spark: SparkSession, folder: str, without: str | None = None) -> DataFrame:
