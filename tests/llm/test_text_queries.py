@@ -183,3 +183,46 @@ def test_tiff_damaged_files_give_an_error_row(spark):
     df = spark.createDataFrame([(1, bytearray(good), "p"), (2, None, "p"), (3, bytearray(b"nonsense"), "p"), (4, bytearray(good[:-20]), "p")], "k int, content binary, pixels string")
     got = sorted((r.k, r.page_no, r.error is None) for r in tiff.explode_pages(df).collect())
     assert got == [(1, 0, True), (1, 1, True), (2, 0, False), (3, 0, False), (4, 0, True), (4, 1, False)]
+
+
+def tiff_of(pages, order="<"):
+    """A file of pages given as their tags and strips, by hand."""
+    out, link = bytearray({"<": b"II", ">": b"MM"}[order] + struct.pack(f"{order}HI", 42, 0)), 4
+    for tags, strips in pages:
+        offsets = []
+        for x in strips:
+            offsets.append(len(out))
+            out += x
+        tags = tags | {273: offsets, 279: [len(x) for x in strips]}
+        body = b""
+        for tag, values in sorted(tags.items()):
+            packed = struct.pack(f"{order}{len(values)}I", *values)
+            if len(packed) > 4:
+                at, packed = len(out), struct.pack(f"{order}I", len(out))
+                out += struct.pack(f"{order}{len(values)}I", *values)
+            body += struct.pack(f"{order}HHI", tag, 4, len(values)) + packed
+        struct.pack_into(f"{order}I", out, link, len(out))
+        out += struct.pack(f"{order}H", len(tags)) + body
+        link = len(out)
+        out += bytes(4)
+    return bytes(out)
+
+
+@pytest.mark.parametrize("order", ["<", ">"])
+def test_tiff_other_samples_and_pages_after_unsupported_ones(spark, order):
+    g = np.random.default_rng(3)
+    gray, ink, deep, planar = g.integers(0, 256, (3, 5, 1), np.uint8), g.integers(0, 2, (4, 11, 1), np.uint8), g.integers(0, 65536, (2, 3, 1)).astype("<u2"), g.integers(0, 256, (2, 4, 3), np.uint8)
+    size = lambda x, **more: {256: [x.shape[1]], 257: [x.shape[0]], 277: [x.shape[2]], 278: [x.shape[0]], **{int(k[1:]): v for k, v in more.items()}}
+    diff = np.diff(deep, axis=1, prepend=np.zeros_like(deep[:, :1]))
+    pages = [
+        (size(gray, t258=[8], t259=[1]), [gray.tobytes()]),
+        (size(ink, t258=[1], t259=[32773]), [tiff.pack_bits(np.packbits(ink[:, :, 0], axis=1).tobytes())]),
+        (size(gray, t258=[4], t259=[1]), [b"xxxxxxxxx"]),
+        (size(deep, t258=[16], t259=[1], t317=[2]), [diff.astype(f"{order}u2").tobytes()]),
+        (size(gray, t258=[8], t259=[8]), [b"not deflate"]),
+        (size(planar, t258=[8, 8, 8], t259=[1], t284=[2]), [planar[:, :, c].tobytes() for c in range(3)]),
+    ]
+    df = spark.createDataFrame([(1, bytearray(tiff_of(pages, order)), "b")], "k int, content binary, bits string")
+    got = sorted(tiff.explode_pages(df).collect(), key=lambda r: r.page_no)
+    assert [(r.page_no, r.bits, r.error is None) for r in got] == [(0, 8, True), (1, 1, True), (2, None, False), (3, 16, True), (4, None, False), (5, 8, True)]
+    assert [bytes(got[k].pixels) for k in (0, 1, 3, 5)] == [gray.tobytes(), (ink * 255).tobytes(), deep.tobytes(), planar.tobytes()]

@@ -32,9 +32,12 @@ def fresh(df: DataFrame | list[str], base: str) -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor and the driver can read: spark.checkpoint.dir, or a temporary one where that is unset."""
+    """The folder every executor and the driver can read: spark.checkpoint.dir; a temporary one where that is unset and all
+    runs on one machine, else an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="veilframe-shared-")
         spark.sparkContext.setCheckpointDir(found)
     return found

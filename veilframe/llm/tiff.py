@@ -19,16 +19,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilframe.llm.common import text_of
+from veilframe.llm.common import blocks, text_of
 
 # Fixed values of the TIFF format.
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS = 256, 257, 258, 259, 262, 273, 277, 278, 279
 PLANAR, PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_COUNTS = 284, 317, 322, 323, 324, 325
+FILL_ORDER = 266
 NONE, LZW, DEFLATE, PACKBITS, OLD_DEFLATE = 1, 5, 8, 32773, 32946
 CODINGS = {"none": NONE, "lzw": LZW, "deflate": DEFLATE, "packbits": PACKBITS}
 TYPES = {1: "B", 2: "c", 3: "H", 4: "I", 6: "b", 7: "B", 8: "h", 9: "i"}
 
-PAGE = "page_no int, width int, height int, samples int, coding int, pixels binary, error string"
+PAGE = "page_no int, width int, height int, samples int, bits int, coding int, pixels binary, error string"
 
 
 @dataclass
@@ -36,6 +37,7 @@ class Page:
     width: int
     height: int
     samples: int
+    bits: int
     coding: int
     pixels: bytes
 
@@ -175,8 +177,9 @@ def _pack(coding: int, data: bytes) -> bytes:
     return {NONE: bytes, PACKBITS: pack_bits, LZW: pack_lzw, DEFLATE: lambda x: zlib.compress(x, 6)}[coding](data)
 
 
-def read_pages(data: bytes) -> Iterator[Page]:
-    """The pages of one file, in the order of its directories; a damaged file raises ValueError."""
+def walk(data: bytes) -> Iterator[Page | ValueError]:
+    """The pages of one file, in the order of its directories, or what is wrong with a page; the chain of directories goes on
+    after a page that can't be read. Without a chain it raises ValueError."""
     order = {b"II": "<", b"MM": ">"}.get(bytes(data[:2]))
     if order is None or len(data) < 8 or struct.unpack(f"{order}H", data[2:4])[0] != 42:
         raise ValueError("not a TIFF file")
@@ -185,53 +188,79 @@ def read_pages(data: bytes) -> Iterator[Page]:
         if at in seen or at + 2 > len(data):
             raise ValueError("the chain of directories is damaged")
         seen.add(at)
-        tags = {}
         count = struct.unpack_from(f"{order}H", data, at)[0]
         if at + 2 + 12 * count + 4 > len(data):
             raise ValueError("a directory is cut off")
-        for k in range(count):
-            tag, kind, n = struct.unpack_from(f"{order}HHI", data, at + 2 + 12 * k)
-            if kind in TYPES:
-                size, place = struct.calcsize(TYPES[kind]) * n, at + 10 + 12 * k
-                if size > 4:
-                    place = struct.unpack_from(f"{order}I", data, place)[0]
-                if place + size > len(data):
-                    raise ValueError("a directory's values are cut off")
-                tags[tag] = struct.unpack_from(f"{order}{n}{TYPES[kind]}", data, place)
+        try:
+            yield _page(data, _tags(data, at, count, order), order)
+        except (ValueError, zlib.error, IndexError, struct.error) as e:
+            yield ValueError(str(e))
         at = struct.unpack_from(f"{order}I", data, at + 2 + 12 * count)[0]
-        yield _page(data, tags)
 
 
-def _page(data: bytes, tags: dict) -> Page:
+def read_pages(data: bytes) -> Iterator[Page]:
+    """The pages of one file; a damaged one, or one that isn't supported, raises ValueError."""
+    for page in walk(data):
+        if isinstance(page, ValueError):
+            raise page
+        yield page
+
+
+def _tags(data: bytes, at: int, count: int, order: str) -> dict:
+    tags = {}
+    for k in range(count):
+        tag, kind, n = struct.unpack_from(f"{order}HHI", data, at + 2 + 12 * k)
+        if kind in TYPES:
+            size, place = struct.calcsize(TYPES[kind]) * n, at + 10 + 12 * k
+            if size > 4:
+                place = struct.unpack_from(f"{order}I", data, place)[0]
+            if place + size > len(data):
+                raise ValueError("a directory's values are cut off")
+            tags[tag] = struct.unpack_from(f"{order}{n}{TYPES[kind]}", data, place)
+    return tags
+
+
+def _page(data: bytes, tags: dict, order: str) -> Page:
+    """Pixels of 8 bits a sample, 1-bit samples as 0 and 255, or of 16 bits, the lower byte first; interleaved."""
     if WIDTH not in tags or HEIGHT not in tags:
         raise ValueError("a page has no size")
     w, h, s = tags[WIDTH][0], tags[HEIGHT][0], tags.get(SAMPLES, (1,))[0]
     coding, predictor = tags.get(COMPRESSION, (NONE,))[0], tags.get(PREDICTOR, (1,))[0]
-    if set(tags.get(BITS, (1,))) != {8} or tags.get(PLANAR, (1,))[0] != 1 or predictor not in (1, 2):
-        raise ValueError("only interleaved 8-bit samples are supported")
+    bits, planes = set(tags.get(BITS, (1,))), s if tags.get(PLANAR, (1,))[0] == 2 else 1
+    if len(bits) != 1 or not bits <= {1, 8, 16}:
+        raise ValueError("only samples of 1, 8 or 16 bits are supported")
+    (b,) = bits
+    if tags.get(PLANAR, (1,))[0] not in (1, 2) or predictor not in (1, 2) or (predictor == 2 and b == 1) or tags.get(FILL_ORDER, (1,))[0] != 1:
+        raise ValueError("a planar layout, predictor or order of bits that isn't supported")
     tiled = TILE_WIDTH in tags
     tw, th = (tags[TILE_WIDTH][0], tags[TILE_HEIGHT][0]) if tiled else (w, min(h, tags.get(ROWS_PER_STRIP, (h,))[0]))
     offsets, counts = (tags.get(TILE_OFFSETS), tags.get(TILE_COUNTS)) if tiled else (tags.get(STRIP_OFFSETS), tags.get(STRIP_COUNTS))
     if not (tw and th and offsets and counts and len(offsets) == len(counts)):
         raise ValueError("a page's strips or tiles are missing")
-    across, down = -(-w // tw), -(-h // th)
-    if len(offsets) < across * down:
+    across, down, depth = -(-w // tw), -(-h // th), s // planes
+    if len(offsets) < across * down * planes:
         raise ValueError("a page's strips or tiles are missing")
-    out = np.zeros((h, w, s), np.uint8)
-    for k in range(across * down):
-        y, x = k // across * th, k % across * tw
+    out, wide = np.zeros((h, w, s), "<u2" if b == 16 else np.uint8), -(-tw * depth * b // 8)
+    for k in range(across * down * planes):
+        plane, j = divmod(k, across * down)
+        y, x = j // across * th, j % across * tw
         rows = th if tiled else min(th, h - y)
-        size = rows * tw * s
+        size = rows * wide
         if offsets[k] + counts[k] > len(data):
             raise ValueError("a strip or tile is cut off")
         raw = _unpack(coding, data[offsets[k] : offsets[k] + counts[k]], size)
         if len(raw) < size:
             raise ValueError("a strip or tile is too short")
-        part = np.frombuffer(raw, np.uint8, size).reshape(rows, tw, s)
+        part = np.frombuffer(raw, np.uint8, size).reshape(rows, wide)
+        if b == 1:
+            part = np.unpackbits(part, axis=1)[:, : tw * depth] * np.uint8(255)
+        elif b == 16:
+            part = np.ascontiguousarray(part).view(f"{order}u2").astype("<u2")
+        part = part.reshape(rows, tw, depth)
         if predictor == 2:
-            part = np.cumsum(part, axis=1, dtype=np.uint8)
-        out[y : y + rows, x : x + tw] = part[: h - y, : w - x]
-    return Page(w, h, s, coding, out.tobytes())
+            part = np.cumsum(part, axis=1, dtype=part.dtype)
+        out[y : y + rows, x : x + tw, plane * depth : (plane + 1) * depth] = part[: h - y, : w - x]
+    return Page(w, h, s, b, coding, out.tobytes())
 
 
 def write_pages(pages: list[np.ndarray], coding: str = "deflate", predictor: bool = True, rows_per_strip: int = 64, tile: int | None = None, order: str = "<") -> bytes:
@@ -274,7 +303,8 @@ def explode_pages(df: DataFrame, content: str = "content") -> DataFrame:
     """One row for each page of the files in a binary column: df's other columns, then page_no, width, height, samples, coding,
     pixels (interleaved bytes), error.
 
-    A null, empty or damaged file gives one row (besides the pages before the damage) with error set and no pixels. Columns
+    A page that is damaged or isn't supported gives a row with error set and no pixels, and so does a null or empty file or
+    one whose directories break off; other pages of the file aren't lost. bits: of a sample, see _page for pixels. Columns
     of df with an output's name are dropped. Rows of a file stay together, in order; no shuffle. Memory: one file and its page.
     """
     names = [x.split()[0] for x in PAGE.split(", ")]
@@ -282,7 +312,7 @@ def explode_pages(df: DataFrame, content: str = "content") -> DataFrame:
     schema = T.StructType(df.select(*cols).schema.fields + T.StructType.fromDDL(PAGE).fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.string()]
+        kinds = [*[pa.int32()] * 6, pa.binary(), pa.string()]
         for batch in batches:
             rows, pages, held = [], [], 0
 
@@ -294,17 +324,20 @@ def explode_pages(df: DataFrame, content: str = "content") -> DataFrame:
             for r, data in enumerate(batch.column(content)):
                 n = 0
                 try:
-                    for n, p in enumerate(read_pages(data.as_py() or b"")):
+                    for p in walk(data.as_py() or b""):
                         rows.append(r)
-                        pages.append((n, p.width, p.height, p.samples, p.coding, p.pixels, None))
-                        held += len(p.pixels)
+                        if isinstance(p, ValueError):
+                            pages.append((n, None, None, None, None, None, None, str(p)))
+                        else:
+                            pages.append((n, p.width, p.height, p.samples, p.bits, p.coding, p.pixels, None))
+                            held += len(p.pixels)
                         n += 1
-                except (ValueError, zlib.error, IndexError) as e:
+                        if held > 4_000_000:
+                            yield flush()
+                            rows, pages, held = [], [], 0
+                except ValueError as e:
                     rows.append(r)
-                    pages.append((n, None, None, None, None, None, str(e)))
-                if held > 4_000_000:
-                    yield flush()
-                    rows, pages, held = [], [], 0
+                    pages.append((n, None, None, None, None, None, None, str(e)))
             if rows:
                 yield flush()
 
@@ -345,8 +378,8 @@ def document_media(df: DataFrame, coding: str = "deflate") -> DataFrame:
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            for part in blocks(iter([batch]), "text", 1_000_000):
+                part = part.combine_chunks().to_batches()[0]
                 texts = [t.encode() for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(map(len, texts), pa.int64()), pa.array([store_payload(payload_of(t), coding) for t in texts], pa.binary())], names=["doc_id", "n_bytes", "content"])
 
