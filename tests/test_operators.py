@@ -1,6 +1,7 @@
 """Operators on small tables with hand-made answers."""
 
 import io
+import json
 import tarfile
 
 import numpy as np
@@ -253,3 +254,20 @@ def test_region_checks_and_redaction(spark):
     plan = spark.createDataFrame([("s", 1, [(0.0, 0.0), (9.0, 0.0), (9.0, 9.0), (0.0, 9.0)], None, False)], f"subject_id string, page_no long, points {pt}, bound {pt}, striped boolean")
     img = kernels.read_png(redact.redacted(pages, plan, ["subject_id", "page_no"]).first().png)
     assert (img[:10, :10] == 0).all() and (img[20:, 20:] == np.roll(page, (2, 3), (0, 1))[20:, 20:]).all()
+
+
+def test_page_outcomes_as_text(spark):
+    df = spark.createDataFrame([("a", 2, None), ("a", 1, "omit"), ("b", 1, 'say "x"')], "subject_id string, page_no int, action string")
+    got = {r.subject_id: json.loads(r.text) for r in ledger.page_outcome_text(df).collect()}
+    assert got == {"a": [{"page_no": 1, "action": "omit"}, {"page_no": 2, "action": None}], "b": [{"page_no": 1, "action": 'say "x"'}]}
+
+
+def test_quads_stretch_along_their_own_axes(spark):
+    q = [(10.0, 0.0), (20.0, 10.0), (10.0, 20.0), (0.0, 10.0)]  # a square on its corner
+    df = spark.createDataFrame([(0, [{"x": x, "y": y} for x, y in q])], "k int, q array<struct<x:double,y:double>>")
+    move = lambda *a: [(round(p.x, 6), round(p.y, 6)) for p in df.select(boxes.stretch_quad(F.col("q"), *map(F.lit, a)).alias("o")).first().o]
+    r = 2**0.5
+    assert move(0.5, 0.0, 0.0) == q
+    assert move(1.0, r, 0.0) == [(10, 0), (21, 11), (11, 21), (0, 10)]
+    assert move(1.0, -r, r) == [(9, -1), (20, 10), (9, 21), (-2, 10)]
+    assert move(2.0, 0.0, 0.0) == [(10, -10), (30, 10), (10, 30), (-10, 10)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.operators.manifest import ends_with, holds
+from veilframe.operators.manifest import ends_with, holds, strip_last_suffix
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -37,6 +37,26 @@ def manifest_audit(df: DataFrame, name: str = "object_name", id_: str = "subject
     return one(rows).join(one(names), "__one").join(one(ids), "__one").drop("__one")
 
 
+def full_report(df: DataFrame, folder: DataFrame, name: str = "object_name", id_: str = "subject_id", path: str = "path") -> DataFrame:
+    """section, item, n: a manifest's figures, its names against a folder's, and how many ids have how many files.
+
+    Suffixes are counted before they are taken off; the folder's names are compared after. Null names match nothing. A few
+    dozen rows, from aggregates that are small before they meet.
+    """
+    n = F.col(name)
+    figures = manifest_audit(df, name, id_)
+    figures = figures.select(F.explode(F.create_map(*[x for c in figures.columns for x in (F.lit(c), F.col(c).cast("long"))])).alias("item", "n"))
+    plain = df.agg(F.count_if(n.isNotNull() & ~holds(n, ".")).alias("n")).select(F.lit("no_suffix").alias("item"), "n")
+    own = df.filter(n.isNotNull()).select(strip_last_suffix(n).alias("k")).distinct().withColumn("a", F.lit(True))
+    there = folder.filter(F.col(path).isNotNull()).select(strip_last_suffix(F.col(path)).alias("k")).distinct().withColumn("b", F.lit(True))
+    a, b = F.col("a").isNotNull(), F.col("b").isNotNull()
+    sides = own.join(there, "k", "full").agg(F.count_if(a).alias("in_table"), F.count_if(b).alias("in_folder"), F.count_if(a & ~b).alias("only_in_table"), F.count_if(b & ~a).alias("only_in_folder"))
+    sides = sides.select(F.explode(F.create_map(*[x for c in sides.columns for x in (F.lit(c), F.col(c))])).alias("item", "n"))
+    many = files_per_id(df, id_, name).select(F.col("n_files").cast("string").alias("item"), F.col("n_ids").alias("n"))
+    out = [x.select(F.lit(s).alias("section"), "item", "n") for s, x in (("figures", figures), ("figures", plain), ("names", sides), ("files_per_id", many))]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
 def worst_corners(boxes: DataFrame) -> DataFrame:
     """page_no, max_xtl, max_ytl over its censor boxes, 0 without any."""
     c = F.col("label") == "censor"

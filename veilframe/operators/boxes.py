@@ -100,6 +100,26 @@ def stretch_all(b: Box, scale: Column, shifts_x: Column, shifts_y: Column) -> Bo
     return Box(pick(first.xtl, again.xtl), pick(first.ytl, again.ytl), pick(first.xbr, again.xbr), pick(first.ybr, again.ybr))
 
 
+def stretch_quad(points: Column, scale: Column, shift_x: Column, shift_y: Column) -> Column:
+    """A quad (top left, top right, bottom right, bottom left) that grows about its mean (never shrinks), then moves one side
+    along its own axes by each shift: the right or left one by shift_x, the bottom or top one by shift_y, by their signs."""
+    s, zero = F.greatest(scale.cast("double"), F.lit(1.0)), F.lit(0.0)
+    at = lambda i, c: F.get(points, F.lit(i))[c]
+    mean = {c: sum((at(i, c) for i in range(1, 4)), at(0, c)) / 4 for c in "xy"}
+    big = [{c: mean[c] + (at(i, c) - mean[c]) * s for c in "xy"} for i in range(4)]
+
+    def axis(i: int) -> dict[str, Column]:
+        d = {c: big[i][c] - big[0][c] for c in "xy"}
+        n = F.sqrt(d["x"] * d["x"] + d["y"] * d["y"])
+        return {c: d[c] / n for c in "xy"}
+
+    across, down = axis(1), axis(3)
+    # by corner: whether it is on the right, and at the bottom
+    sides = ((False, False), (True, False), (True, True), (False, True))
+    moves = [((F.greatest if right else F.least)(shift_x, zero), (F.greatest if low else F.least)(shift_y, zero)) for right, low in sides]
+    return F.array(*[point(*(big[i][c] + across[c] * moves[i][0] + down[c] * moves[i][1] for c in "xy")) for i in range(4)])
+
+
 def center(b: Box) -> tuple[Column, Column]:
     return F.floor((b.xtl + b.xbr) / 2), F.floor((b.ytl + b.ybr) / 2)
 

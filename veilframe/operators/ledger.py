@@ -78,6 +78,13 @@ def warning_texts(pages: DataFrame) -> DataFrame:
     return x.select("subject_id", order.alias("warning_ordering"), censor.alias("warning_censoring"))
 
 
+def page_outcome_text(pages: DataFrame, key: str = "subject_id") -> DataFrame:
+    """key, text: a subject's page outcomes as one JSON array, in order of page_no; a subject's pages are a few dozen."""
+    rest = [c for c in pages.columns if c != key]
+    items = F.array_sort(F.collect_list(F.struct("page_no", F.to_json(F.struct(*rest), {"ignoreNullFields": "false"}).alias("j"))))
+    return pages.groupBy(key).agg(items.alias("x")).select(key, F.concat(F.lit("["), F.concat_ws(",", F.transform("x", lambda v: v["j"])), F.lit("]")).alias("text"))
+
+
 def status_column(error: Column, timed_out: Column) -> Column:
     """One of STATUSES from an error's type and a timeout flag."""
     return F.when(timed_out, F.lit("timeout")).when(error.isNull(), F.lit("success")).when(error == "WorkerError", F.lit("worker_exception")).otherwise(F.lit("failed"))

@@ -51,6 +51,16 @@ def ratio_test(costs: DataFrame, ratio: float = 0.7, key: str = "subject_id") ->
     return x.filter((F.col("n") == 2) & (F.col("cost") < F.lit(ratio) * F.col("second"))).drop("n")
 
 
+def best_template(counts: DataFrame, key: list[str], template: str = "template", pos: str = "pos", n: str = "n_good") -> DataFrame:
+    """key, template, n: the template with the most good matches, the first in order of pos among equals; null and 0 without any.
+
+    One row a key and task is kept while it is summed, so a key with many templates is no burden.
+    """
+    best = F.max(F.struct(F.col(n).alias("n"), (-F.col(pos)).alias("p"), F.col(template).alias("t"))).alias("best")
+    some = F.col("best.n") > 0
+    return counts.groupBy(*key).agg(best).select(*key, F.when(some, F.col("best.t")).alias(template), F.coalesce(F.when(some, F.col("best.n")), F.lit(0)).cast("long").alias(n))
+
+
 def best_n(costs: DataFrame, n: int = 50, key: str = "subject_id") -> DataFrame:
     """The n cheapest pairs of each key, with their place."""
     w = Window.partitionBy(key).orderBy("cost", "page_no", "template_no")

@@ -86,6 +86,14 @@ def _similar(b: Box):
     return boxes.project_similar(b, F.lit(10.0), F.lit(20.0), F.lit(1.1), F.lit(5.0), F.lit(-3.0), F.lit(2.0))
 
 
+def quad_stretch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = _boxes(spark, sf_dir)
+    q = F.array(*(boxes.point(F.col(x) + dx, F.col(y) + dy) for x, y, dx, dy in (("xtl", "ytl", 0, 0), ("xbr", "ytl", 0, 40), ("xbr", "ybr", -30, 40), ("xtl", "ybr", -30, 0))))
+    p = F.col("pos").cast("long")
+    out = b.select("page_no", "pos", boxes.stretch_quad(q, 0.9 + p / 20, (p % 3 - 1) * 7.0, (p % 5 - 2) * 3.0).alias("q"))
+    return out.select("page_no", "pos", *(F.round(F.get("q", F.lit(i))[c], 6).alias(f"{c}{i}") for i in range(4) for c in "xy"))
+
+
 def box_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = _boxes(spark, sf_dir).select("page_no", "pos", _similar(Box.of()).alias("s"), boxes.project_homography(Box.of(), F.array(*[F.lit(v) for v in (1.02, 0.01, 3.0, -0.02, 0.98, 5.0, 0.00001, 0.00002, 1.0)])).alias("h"))
     return x.select("page_no", "pos", *[F.round(F.col(c)[k][a], 6).alias(f"{c}{k}{a}") for c in ("s", "h") for k in (0, 2) for a in ("x", "y")])
@@ -212,6 +220,21 @@ SELECT page_no, round(greatest(rx, ry), 6) AS ratio, mx > 1000 * rx OR my > 1000
             p=P.BOX,
         ),
     ),
+    (
+        quad_stretch,
+        P.with_views(
+            _BOX
+            + """, q AS (SELECT page_no, pos, greatest(0.9::DOUBLE + pos / 20.0::DOUBLE, 1) AS s, (pos % 3 - 1) * 7.0::DOUBLE AS sx, (pos % 5 - 2) * 3.0::DOUBLE AS sy,
+    [xtl, xbr, xbr - 30, xtl - 30]::DOUBLE[] AS px, [ytl, ytl + 40, ybr + 40, ybr]::DOUBLE[] AS py FROM b),
+  g AS (SELECT *, list_avg(px) AS mx, list_avg(py) AS my FROM q),
+  t AS (SELECT *, list_transform(px, lambda v: mx + (v - mx) * s) AS tx, list_transform(py, lambda v: my + (v - my) * s) AS ty FROM g),
+  u AS (SELECT *, sqrt((tx[2] - tx[1]) ** 2 + (ty[2] - ty[1]) ** 2) AS n1, sqrt((tx[4] - tx[1]) ** 2 + (ty[4] - ty[1]) ** 2) AS n3 FROM t),
+  w AS (SELECT *, (tx[2] - tx[1]) / n1 AS ax, (ty[2] - ty[1]) / n1 AS ay, (tx[4] - tx[1]) / n3 AS dx, (ty[4] - ty[1]) / n3 AS dy, greatest(sx, 0) AS r, least(sx, 0) AS l, greatest(sy, 0) AS d, least(sy, 0) AS o FROM u)
+SELECT page_no, pos, round(tx[1] + ax * l + dx * o, 6) AS x0, round(ty[1] + ay * l + dy * o, 6) AS y0, round(tx[2] + ax * r + dx * o, 6) AS x1, round(ty[2] + ay * r + dy * o, 6) AS y1,
+  round(tx[3] + ax * r + dx * d, 6) AS x2, round(ty[3] + ay * r + dy * d, 6) AS y2, round(tx[4] + ax * l + dx * d, 6) AS x3, round(ty[4] + ay * l + dy * d, 6) AS y3 FROM w""",
+            p=P.BOX,
+        ),
+    ),
     (resolution_totals, f"SELECT count_if(redo) AS pages_to_redo, count_if(over) AS ratios_over, count(*) AS n_pages FROM ({_QA})"),
     (
         box_project,

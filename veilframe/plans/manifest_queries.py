@@ -54,6 +54,10 @@ def manifest_name_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _manifest(spark, sf_dir).select("ingest_pos", manifest.strip_last_suffix(n).alias("up_to_last"), manifest.strip_first_suffix(n).alias("up_to_first"), manifest.page_number(n).cast("long").alias("page_no"), manifest.ends_with(n, ".tif").alias("is_tif"), manifest.holds(n, "shared").alias("is_shared"))
 
 
+def manifest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.full_report(_manifest(spark, sf_dir), _listing(spark, sf_dir))
+
+
 def manifest_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = _listing(spark, sf_dir).select(manifest.strip_first_suffix(F.col("path")).alias("object_name"))
     return manifest.differences(_prepared(spark, sf_dir), listed, "object_name")
@@ -175,7 +179,7 @@ QUERIES = [
     (manifest_prepare, P.with_views(_PREPARED + " SELECT subject_id, object_name, false AS used, '' AS warning_ordering, '' AS warning_censoring FROM prep", m=P.MANIFEST)),
     (
         manifest_audit,
-        P.with_views(
+        _AUDIT := P.with_views(
             """, p AS (SELECT object_name, subject_id, count(*) AS n FROM m GROUP BY ALL),
   bn AS (SELECT object_name, sum(n) AS n, count(subject_id) AS ids FROM p WHERE object_name IS NOT NULL GROUP BY 1), bi AS (SELECT subject_id, sum(n) AS n FROM p WHERE subject_id IS NOT NULL GROUP BY 1)
 SELECT count(*) AS n_rows, count_if(object_name IS NULL) AS null_names, count_if(subject_id IS NULL) AS null_ids, count_if(object_name IS NULL AND subject_id IS NULL) AS null_both,
@@ -183,7 +187,7 @@ SELECT count(*) AS n_rows, count_if(object_name IS NULL) AS null_names, count_if
   (SELECT count(*) FROM bn) AS n_names, (SELECT count_if(n > 1) FROM bn) AS repeated_names, (SELECT count_if(ids > 1) FROM bn) AS ambiguous_names,
   (SELECT count(*) FROM bi) AS n_ids, CAST((SELECT max(n) FROM bi) AS BIGINT) AS most_files, (SELECT count(DISTINCT n) FROM bi) AS distinct_counts FROM m""",
             m=P.MANIFEST,
-        ),
+    ),
     ),
     (manifest_null_counts, P.with_views(" SELECT count_if(subject_id IS NULL) AS subject_id, count_if(object_name IS NULL) AS object_name FROM m", m=P.MANIFEST)),
     (manifest_ambiguous, P.with_views(" SELECT object_name, count(DISTINCT subject_id) AS n_ids FROM m GROUP BY 1 HAVING count(DISTINCT subject_id) > 1", m=P.MANIFEST)),
@@ -195,6 +199,16 @@ SELECT count(*) AS n_rows, count_if(object_name IS NULL) AS null_names, count_if
             m=P.MANIFEST,
         ),
     ),
+    (
+        manifest_report,
+        f"""SELECT 'figures' AS section, name AS item, CAST(value AS BIGINT) AS n FROM (UNPIVOT ({_AUDIT}) ON COLUMNS(*) INTO NAME name VALUE value)
+UNION ALL SELECT 'figures', 'no_suffix', CAST(count(*) AS BIGINT) FROM ({P.plain(P.MANIFEST)}) WHERE object_name IS NOT NULL AND NOT contains(object_name, '.')
+UNION ALL SELECT 'files_per_id', CAST(k AS VARCHAR), count(*) FROM (SELECT count(*) AS k FROM ({P.plain(P.MANIFEST)}) WHERE subject_id IS NOT NULL GROUP BY subject_id) GROUP BY k
+UNION ALL SELECT 'names', name, value FROM (UNPIVOT (
+  SELECT count(a) AS in_table, count(b) AS in_folder, CAST(sum(CASE WHEN b IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS only_in_table, CAST(sum(CASE WHEN a IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS only_in_folder FROM
+  (SELECT DISTINCT regexp_replace(object_name, '[.][^.]*$', '') AS a FROM ({P.plain(P.MANIFEST)}) WHERE object_name IS NOT NULL) FULL JOIN
+  (SELECT DISTINCT regexp_replace(path, '[.][^.]*$', '') AS b FROM ({P.plain(P.LISTING)}) WHERE path IS NOT NULL) ON a = b) ON COLUMNS(*) INTO NAME name VALUE value)""",
+    ),
     (
         manifest_reconcile,
         P.with_views(

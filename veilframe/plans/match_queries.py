@@ -43,6 +43,11 @@ def ratio_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.ratio_test(hash_cost_matrix(spark, sf_dir))
 
 
+def best_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = hash_cost_matrix(spark, sf_dir).select("subject_id", "page_no", F.concat(F.lit("q_"), F.col("template_no").cast("string")).alias("template"), F.col("template_no").alias("pos"), F.greatest(F.lit(0), 30 - F.col("cost")).cast("long").alias("n_good"))
+    return vectors.best_template(good, ["subject_id", "page_no"])
+
+
 def best_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.best_n(hash_cost_matrix(spark, sf_dir), 4)
 
@@ -110,6 +115,7 @@ QUERIES = [
     (mutual_nn, P.with_views(_BITS + ", r AS (SELECT *, row_number() OVER (PARTITION BY subject_id, page_no ORDER BY cost, template_no) AS a, row_number() OVER (PARTITION BY subject_id, template_no ORDER BY cost, page_no) AS b FROM c) SELECT subject_id, page_no, template_no, cost FROM r WHERE a = 1 AND b = 1", v=P.PAGEHASH)),
     (two_nearest, P.with_views(_BITS + _RANK + " SELECT subject_id, page_no, template_no, cost, CAST(place AS BIGINT) AS place FROM r WHERE place <= 2", v=P.PAGEHASH)),
     (ratio_test, P.with_views(_BITS + _RANK + " SELECT a.subject_id, a.page_no, a.template_no, a.cost, b.cost AS second FROM r a JOIN r b ON a.subject_id = b.subject_id AND a.page_no = b.page_no AND a.place = 1 AND b.place = 2 WHERE a.cost < 0.7 * b.cost", v=P.PAGEHASH)),
+    (best_template, P.with_views(_BITS + " SELECT DISTINCT ON (subject_id, page_no) subject_id, page_no, CASE WHEN cost < 30 THEN 'q_' || template_no END AS template, CAST(greatest(0, 30 - cost) AS BIGINT) AS n_good FROM c ORDER BY subject_id, page_no, greatest(0, 30 - cost) DESC, template_no", v=P.PAGEHASH)),
     (best_n, P.with_views(_BITS + ", r AS (SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY cost, page_no, template_no) AS place FROM c) SELECT subject_id, page_no, template_no, cost, CAST(place AS BIGINT) AS place FROM r WHERE place <= 4", v=P.PAGEHASH)),
     (near_hashes, "WITH s AS (SELECT vec_id, embedding AS e, list_extract(list_sort(embedding[2:64]), 32) AS med FROM embeddings), d AS (SELECT vec_id, list_transform(e, lambda x: CASE WHEN x > med THEN 1 ELSE 0 END) AS b FROM s), p AS (SELECT a.vec_id AS a_id, b.vec_id AS b_id, CAST(64 - list_sum(a.b) - list_sum(b.b) AS BIGINT) AS u, CAST(list_inner_product(a.b::DOUBLE[], b.b::DOUBLE[]) AS BIGINT) AS common, CAST(list_sum(a.b) + list_sum(b.b) AS BIGINT) AS n FROM d a JOIN d b ON a.vec_id < b.vec_id) SELECT a_id, b_id, n - 2 * common AS cost FROM p WHERE n - 2 * common < 8"),
     (assign_total_cost, P.with_views(_BITS + _MIN + " SELECT subject_id, min(total) AS total_cost, 3::BIGINT AS n FROM a GROUP BY 1", v=P.PAGEHASH)),
