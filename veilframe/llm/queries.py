@@ -25,38 +25,47 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, host, path, rule, verdict, trust, distrust: one row for each page."""
     return url_trust.judge(table(spark, sf_dir, "pages"))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted: one row for each document."""
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, source_size, target, taken: one row for each document."""
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
 def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, both fingerprints and two likenesses: one row for each document."""
     return spotsigs.edits(table(spark, sf_dir, "documents"))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_tokens, over_limit: one row for each document."""
     return token_counts.count(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op7_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id with sizes and digests of its payload and file, and a feature: one row for each document."""
     return tiff.document_media(table(spark, sf_dir, "documents"))
 
 
 def op8_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: one row for each document."""
     return trie_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32, read back from the files: one row for each document."""
     return token_store.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, class_id: one row for each document."""
     return dart_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
