@@ -130,7 +130,7 @@ def write(df: DataFrame, folder: str, tokenizer: str, scratch: Scratch, end_id:
         task, own, store = TaskContext.get(), encoder(tokenizer, LibraryEncoder), None
         path, n = f"{folder}/part-{task.partitionId():06d}-{task.taskAttemptId()}.zst", 0
         end = np.array([] if end_id is None else [end_id], np.uint32)
-        for table in blocks(batches, "text", 4_000_000):
+        for table in blocks(batches, "text", 3_000_000):
             if store is None:
                 fs, at = _open(path)
                 fs.create_dir(at.rpartition("/")[0], recursive=True)

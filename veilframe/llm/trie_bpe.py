@@ -281,9 +281,9 @@ class LibraryEncoder(TrieEncoder):
         """Encodes distinct words and pieces."""
         plain = [w for w in words if w.isascii() or max(w) < "Ā"]
         others = [w for w in words if not (w.isascii() or max(w) < "Ā")]
-        for lo in range(0, len(plain), 20 * TOGETHER):
-            parts = [plain[k : k + TOGETHER] for k in range(lo, min(lo + 20 * TOGETHER, len(plain)), TOGETHER)]
-            for part, got in zip(parts, self.tok.encode_batch([" ".join(x) for x in parts], add_special_tokens=False), strict=True):
+        for lo in range(0, len(plain), 4 * TOGETHER):
+            parts = [plain[k : k + TOGETHER] for k in range(lo, min(lo + 4 * TOGETHER, len(plain)), TOGETHER)]
+            for part, got in zip(parts, self.tok.encode_batch_fast([" ".join(x) for x in parts], add_special_tokens=False), strict=True):
                 ids = np.array(got.ids, "<u4")
                 last = (np.flatnonzero(self.ends[ids]) + 1) * 4
                 if len(last) != len(part) or (len(last) and last[-1] != 4 * len(ids)):
