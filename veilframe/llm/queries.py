@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from veilframe.llm import dart_minhash, mixing, pii, spotsigs, tiff, token_counts, token_store, toxicity, trie_bpe, url_trust
+from veilframe.llm import dart_minhash, mixing, oracles, pii, spotsigs, tiff, token_counts, token_store, toxicity, trie_bpe, url_trust
 from veilframe.llm.common import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,8 +26,9 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """page_id, host, path, rule, verdict, trust, distrust: one row for each page."""
-    return url_trust.judge(table(spark, sf_dir, "pages"))
+    """page_id, host, path, rule, verdict, trust, distrust to nine digits: one row for each page."""
+    ranks = {k: F.round(k, 9) for k in ("trust", "distrust")}
+    return url_trust.judge(table(spark, sf_dir, "pages")).withColumns(ranks)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,4 +76,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_url_trust": oracles.URL_TRUST, "op10_dart_minhash": oracles.NEAR_DUPLICATES}
