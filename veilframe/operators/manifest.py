@@ -59,8 +59,9 @@ def mark_used(df: DataFrame, done: DataFrame, id_: str = "subject_id") -> DataFr
 
 
 def sample_ids(df: DataFrame, n: int, seed: int, id_: str = "subject_id") -> DataFrame:
-    """All rows of n ids, the same for a seed."""
-    ids = df.select(id_).distinct().orderBy(F.xxhash64(F.lit(seed), id_), id_).limit(n)
+    """All rows of n ids, the same for a seed: those with the least digests of seed and id. Null ids aren't drawn."""
+    drawn = F.md5(F.concat(F.lit(f"{seed}/"), F.col(id_).cast("string")).cast("binary"))
+    ids = df.select(id_).filter(F.col(id_).isNotNull()).distinct().orderBy(drawn, id_).limit(n)
     return df.join(ids, id_, "left_semi")
 
 

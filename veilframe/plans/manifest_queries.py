@@ -236,7 +236,7 @@ SELECT side, count(*) AS n, array_to_string(list_slice(list(object_name ORDER BY
     (remaining_work, P.with_views(_PREPARED + " SELECT subject_id, object_name FROM prep WHERE subject_id NOT IN (SELECT subject_id FROM l WHERE status = 'success')", m=P.MANIFEST, l=P.LEDGER)),
     (shard_contiguous, "WITH r AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS r, count(*) OVER () AS n FROM customer) SELECT c_custkey, CAST(CASE WHEN n < 7 THEN 6 ELSE least(floor((r - 1) / floor(n / 7)), 6) END AS BIGINT) AS shard FROM r"),
     (shard_strided, "SELECT c_custkey, CAST((row_number() OVER (ORDER BY c_custkey) - 1) % 7 AS BIGINT) AS shard FROM customer"),
-    (sample_subjects, None),
+    (sample_subjects, P.with_views(_PREPARED + " SELECT subject_id, object_name, false AS used, '' AS warning_ordering, '' AS warning_censoring FROM prep WHERE subject_id IN (SELECT subject_id FROM prep WHERE subject_id IS NOT NULL GROUP BY 1 ORDER BY md5('1/' || subject_id), 1 LIMIT 20)", m=P.MANIFEST)),
     (
         warning_rollup,
         P.with_views(

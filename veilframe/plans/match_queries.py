@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.operators import assign, vectors
+from veilframe.operators import assign, decide, vectors
 from veilframe.plans import proxies as P
 
 _BITS = """, s AS (SELECT subject_id, k, embedding AS e, list_extract(list_sort(embedding[2:64]), 32) AS med FROM v),
@@ -53,12 +53,30 @@ def best_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hashes less than 8 bits apart, among those of the vectors and copies of them (ids below 0) whose last 0 to 9 bits are flipped."""
     x = P.table(spark, sf_dir, "embeddings").select("vec_id", vectors.hash_bits(F.col("embedding")).alias("bits"))
+    flipped = F.col("bits").bitwiseXOR((F.pow(F.lit(2.0), F.col("vec_id") % 10) - 1).cast("long"))
+    x = x.unionByName(x.select((-1 - F.col("vec_id")).alias("vec_id"), flipped.alias("bits")))
     a, b = x.withColumnRenamed("vec_id", "a_id"), x.withColumnRenamed("vec_id", "b_id")
     c = vectors.bit_slice_candidates(a, b, 8, 8).filter("a_id < b_id").join(a, "a_id").join(b.withColumnRenamed("bits", "bb"), "b_id")
     return c.select("a_id", "b_id", vectors.hamming(F.col("bits"), F.col("bb")).alias("cost")).filter("cost < 8")
 
 
+def open_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the first stage leaves for the second: pairs of pages and templates without a sure match, less those it tested."""
+    costs = hash_cost_matrix(spark, sf_dir)
+    sure = vectors.mutual_nearest(costs).filter("cost < 28")
+    zipped = costs.filter("page_no = template_no")
+    return decide.open_pairs(costs.select("subject_id", "page_no").distinct(), costs.select("subject_id", "template_no").distinct(), sure, zipped)
+
+
+def second_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs matched by their hashes, with the checks of those whose numbers are not 1 and 1: too costly pairs and unchecked ones don't match."""
+    costs = hash_cost_matrix(spark, sf_dir)
+    checks = costs.filter("page_no + template_no <> 2").withColumn("matched", F.col("cost") < 28)
+    return decide.second_stage(vectors.mutual_nearest(costs), checks).select("subject_id", "page_no", "template_no", "matched")
+
+
 def assign_total_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = assign.assign(hash_cost_matrix(spark, sf_dir))
     return x.groupBy("subject_id").agg(F.sum("cost").cast("long").alias("total_cost"), F.count("*").alias("n"))
@@ -117,7 +135,9 @@ QUERIES = [
     (ratio_test, P.with_views(_BITS + _RANK + " SELECT a.subject_id, a.page_no, a.template_no, a.cost, b.cost AS second FROM r a JOIN r b ON a.subject_id = b.subject_id AND a.page_no = b.page_no AND a.place = 1 AND b.place = 2 WHERE a.cost < 0.7 * b.cost", v=P.PAGEHASH)),
     (best_template, P.with_views(_BITS + " SELECT DISTINCT ON (subject_id, page_no) subject_id, page_no, CASE WHEN cost < 30 THEN 'q_' || template_no END AS template, CAST(greatest(0, 30 - cost) AS BIGINT) AS n_good FROM c ORDER BY subject_id, page_no, greatest(0, 30 - cost) DESC, template_no", v=P.PAGEHASH)),
     (best_n, P.with_views(_BITS + ", r AS (SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY cost, page_no, template_no) AS place FROM c) SELECT subject_id, page_no, template_no, cost, CAST(place AS BIGINT) AS place FROM r WHERE place <= 4", v=P.PAGEHASH)),
-    (near_hashes, "WITH s AS (SELECT vec_id, embedding AS e, list_extract(list_sort(embedding[2:64]), 32) AS med FROM embeddings), d AS (SELECT vec_id, list_transform(e, lambda x: CASE WHEN x > med THEN 1 ELSE 0 END) AS b FROM s), p AS (SELECT a.vec_id AS a_id, b.vec_id AS b_id, CAST(64 - list_sum(a.b) - list_sum(b.b) AS BIGINT) AS u, CAST(list_inner_product(a.b::DOUBLE[], b.b::DOUBLE[]) AS BIGINT) AS common, CAST(list_sum(a.b) + list_sum(b.b) AS BIGINT) AS n FROM d a JOIN d b ON a.vec_id < b.vec_id) SELECT a_id, b_id, n - 2 * common AS cost FROM p WHERE n - 2 * common < 8"),
+    (near_hashes, "WITH s AS (SELECT vec_id, embedding AS e, list_extract(list_sort(embedding[2:64]), 32) AS med FROM embeddings), o AS (SELECT vec_id, list_transform(e, lambda x: CASE WHEN x > med THEN 1 ELSE 0 END) AS b FROM s), d AS (SELECT * FROM o UNION ALL SELECT -1 - vec_id, list_transform(range(1, 65), lambda i: CASE WHEN i > 64 - vec_id % 10 THEN 1 - b[i] ELSE b[i] END) FROM o), p AS (SELECT a.vec_id AS a_id, b.vec_id AS b_id, CAST(64 - list_sum(a.b) - list_sum(b.b) AS BIGINT) AS u, CAST(list_inner_product(a.b::DOUBLE[], b.b::DOUBLE[]) AS BIGINT) AS common, CAST(list_sum(a.b) + list_sum(b.b) AS BIGINT) AS n FROM d a JOIN d b ON a.vec_id < b.vec_id) SELECT a_id, b_id, n - 2 * common AS cost FROM p WHERE n - 2 * common < 8"),
+    (open_pairs, P.with_views(_BITS + ", r AS (SELECT *, row_number() OVER (PARTITION BY subject_id, page_no ORDER BY cost, template_no) AS a, row_number() OVER (PARTITION BY subject_id, template_no ORDER BY cost, page_no) AS b FROM c), m AS (SELECT * FROM r WHERE a = 1 AND b = 1 AND cost < 28) SELECT subject_id, page_no, template_no FROM c WHERE page_no <> template_no AND NOT EXISTS (SELECT 1 FROM m WHERE m.subject_id = c.subject_id AND m.page_no = c.page_no) AND NOT EXISTS (SELECT 1 FROM m WHERE m.subject_id = c.subject_id AND m.template_no = c.template_no)", v=P.PAGEHASH)),
+    (second_stage, P.with_views(_BITS + ", r AS (SELECT *, row_number() OVER (PARTITION BY subject_id, page_no ORDER BY cost, template_no) AS a, row_number() OVER (PARTITION BY subject_id, template_no ORDER BY cost, page_no) AS b FROM c) SELECT subject_id, page_no, template_no, page_no + template_no <> 2 AND cost < 28 AS matched FROM r WHERE a = 1 AND b = 1", v=P.PAGEHASH)),
     (assign_total_cost, P.with_views(_BITS + _MIN + " SELECT subject_id, min(total) AS total_cost, 3::BIGINT AS n FROM a GROUP BY 1", v=P.PAGEHASH)),
     (assign_pages, None),
     (assign_report, None),
