@@ -86,3 +86,18 @@ def test_pages_are_not_what_is_broadcast(spark):
 
     plan = raster_queries.region_misalignment(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "rightHint=(strategy=broadcast)" in plan and "leftHint" not in plan
+
+
+def test_search_ends_with_what_cannot_be_bettered(monkeypatch):
+    a, b = points(moved(5, -3)), points(moved(0, 0))
+    solved, svd = [], np.linalg.svd
+    monkeypatch.setattr(np.linalg, "svd", lambda x, *how: solved.append(np.prod(x.shape[:-2])) or svd(x, *how))
+    got = feats.match_keypoints(a, b, decision="geometric", estimate="homography")
+    assert got["homography"][2] == pytest.approx(5, abs=1e-6) and sum(solved) < 100
+    rng = np.random.default_rng(4)
+    assert np.concatenate(list(kernels.draws(9, 4, 50, 4))).tolist() == [rng.choice(9, 4, replace=False).tolist() for _ in range(50)]
+    # with outliers all rounds are drawn, and the best is the first of the best
+    src = RNG.uniform(0, 100, (30, 2))
+    dst = src + 4
+    dst[:15] = RNG.uniform(200, 900, (15, 2))
+    assert kernels.ransac_homography(src, dst)[1].tolist() == [False] * 15 + [True] * 15

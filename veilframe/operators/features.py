@@ -87,23 +87,25 @@ def describe(img: np.ndarray, want: tuple[str, ...], page: bool = False, border:
     return out
 
 
-def template_features(pages: DataFrame, boxes: DataFrame, keys: list[str], border: float = 0.0, kinds: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+def template_features(pages: DataFrame, boxes: DataFrame | None, keys: list[str], border: float = 0.0, kinds: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """keys, pos, kind and the features of each box of a template page, and of the page itself (pos -1).
 
     pages: keys and an image; boxes: keys, pos, kind, xtl, ytl, xbr, ybr. A kind that isn't in `kinds` has no features. An
     alignment box without any keypoint is an error, as no page could ever be matched by it. Pages without boxes have their
-    own row alone.
+    own row alone; without a table of them nothing is joined, so no pixels are shuffled.
     """
     kinds = kinds or KINDS
-    listed = boxes.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "kind", "xtl", "ytl", "xbr", "ybr"))).alias("__boxes"))
-    x = pages.join(listed, keys, "left")
+    x = pages
+    if boxes is not None:
+        listed = boxes.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "kind", "xtl", "ytl", "xbr", "ybr"))).alias("__boxes"))
+        x = pages.join(listed, keys, "left")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             rows = []
             for r in f.to_dict("records"):
                 img, own = as_array(r["height"], r["width"], r["channels"], r["data"]), [r[k] for k in keys]
-                for b in r["__boxes"] if r["__boxes"] is not None else []:
+                for b in r["__boxes"] if r.get("__boxes") is not None else []:
                     part = prepare(img, [b[c] for c in ("xtl", "ytl", "xbr", "ybr")], b["kind"])
                     found = describe(part, kinds.get(b["kind"], ()))
                     if b["kind"] == "align" and not found["descriptors"]:
@@ -121,15 +123,16 @@ def fit_similarity(src, dst, threshold: float = 5.0, rounds: int = 200, seed: in
     """Turn-and-scale m and shift t with dst = m src + t (points as complex numbers), from pairs of a seeded generator, refitted
     to the pairs it brings within the threshold."""
     a, b = (np.asarray(p, float).reshape(-1, 2) @ [1, 1j] for p in (src, dst))
-    best, rng = np.zeros(len(a), bool), np.random.default_rng(seed)
-    for _ in range(rounds if len(a) >= 2 else 0):
-        i, j = rng.choice(len(a), 2, replace=False)
-        if a[i] == a[j]:
-            continue
+    best = np.zeros(len(a), bool)
+    for pairs in kernels.draws(len(a), 2, rounds if len(a) >= 2 else 0, seed):
+        i, j = pairs[a[pairs[:, 0]] != a[pairs[:, 1]]].T[:, :, None]
         m = (b[i] - b[j]) / (a[i] - a[j])
         near = np.abs(m * (a - a[i]) + b[i] - b) < threshold
-        if near.sum() > best.sum():
-            best = near
+        k = int(near.sum(1).argmax()) if len(near) else None
+        if k is not None and near[k].sum() > best.sum():
+            best = near[k]
+        if best.all():
+            break
     if best.sum() < 2:
         return None
     x, y = a[best] - a[best].mean(), b[best] - b[best].mean()
