@@ -101,3 +101,31 @@ def test_search_ends_with_what_cannot_be_bettered(monkeypatch):
     dst = src + 4
     dst[:15] = RNG.uniform(200, 900, (15, 2))
     assert kernels.ransac_homography(src, dst)[1].tolist() == [False] * 15 + [True] * 15
+
+
+def test_equal_inputs_are_worked_out_once():
+    done, once = [], feats.Once(most=2500)
+    ask = lambda *parts: once(list(parts), lambda x: 0, lambda: done.append(parts) or len(done))
+    assert [ask(b"ab", (1, 2)), ask(b"ab", (2, 1)), ask(b"a", b"b"), ask(b"ab", (1, 2)), ask(b"a", b"b")] == [1, 2, 3, 1, 3]
+    assert ask(b"new") == 4 and len(once.held) == 1 and ask(b"ab", (1, 2)) == 5  # what is held is bounded
+
+
+def test_pages_of_equal_pixels_keep_their_own_boxes_and_shapes(spark):
+    data = bytearray(np.ascontiguousarray(moved(0, 0)).tobytes())
+    schema = "k long, height int, width int, channels int, data binary"
+    pages = spark.createDataFrame([(1, 150, 150, 1, data), (2, 150, 150, 1, data), (3, 100, 225, 1, data), (4, 150, 150, 1, data)], schema).coalesce(1)
+    boxes = spark.createDataFrame([(k, 0, "ocr", 10, 5, 40 + (k == 4), 25) for k in (1, 3, 4)], "k long, pos long, kind string, xtl int, ytl int, xbr int, ybr int")
+    joined = feats.template_features(pages, boxes, ["k"])
+    got = {(r.k, r.pos): r for r in joined.collect()}
+    assert sorted(got) == [(1, -1), (1, 0), (2, -1), (3, -1), (3, 0), (4, -1), (4, 0)]
+    assert got[1, -1].descriptors == got[2, -1].descriptors == feats.describe(moved(0, 0), ("keypoints",), True)["descriptors"] != got[3, -1].descriptors
+    assert (got[1, 0].f_width, got[4, 0].f_width) == (60, 62) and got[1, 0].f_data != got[3, 0].f_data
+    held = feats.template_features(pages.join(feats.listed_boxes(boxes, ["k"]), "k", "left"), None, ["k"])
+    assert sorted(map(str, held.collect())) == sorted(map(str, joined.collect()))
+
+
+def test_pages_are_not_joined_with_no_boxes(spark):
+    from veilframe.plans import raster_queries
+
+    plan = raster_queries.keypoint_match(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" not in plan

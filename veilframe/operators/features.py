@@ -6,7 +6,8 @@ CASEs work on. Nothing here moves pixels through a shuffle but the pairs that a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,6 +28,29 @@ COLUMNS = {"crc": "crc long", "bits": "bits long", "profile": "profile_x array<f
 NAMES = [c.split()[0] for d in COLUMNS.values() for c in d.split(", ")]
 
 
+class Once:
+    """What a function gives for equal inputs, worked out once in a task; `most` bytes of results stay, by the inputs' digests."""
+
+    def __init__(self, most: int = 32_000_000):
+        self.most, self.held, self.size = most, {}, 0
+
+    def __call__(self, parts: list, size: Callable[[object], int], work: Callable[[], object]):
+        """parts: bytes, or what repr tells apart, that the result depends on alone; size: bytes of a result."""
+        key = hashlib.blake2b(digest_size=32)
+        for p in parts:
+            p = p if isinstance(p, (bytes, bytearray, memoryview)) else repr(p).encode()
+            key.update(len(p).to_bytes(8, "little"))
+            key.update(p)
+        key = key.digest()
+        if key not in self.held:
+            found = work()
+            if self.size > self.most:
+                self.held, self.size = {}, 0
+            self.held[key] = found
+            self.size += 1000 + size(found)
+        return self.held[key]
+
+
 def prepare(img: np.ndarray, box=None, kind: str = "standard", size: tuple[int, int] | None = None) -> np.ndarray:
     """A box's part of a page in grey: blank parts in black and white, parts for OCR doubled, smoothed and thresholded.
 
@@ -87,31 +111,43 @@ def describe(img: np.ndarray, want: tuple[str, ...], page: bool = False, border:
     return out
 
 
+BOX = ("pos", "kind", "xtl", "ytl", "xbr", "ybr")
+
+
+def listed_boxes(boxes: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, boxes: each page's boxes as an array, to be joined to pages before they are decoded, or by template_features."""
+    return boxes.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*BOX))).alias("boxes"))
+
+
 def template_features(pages: DataFrame, boxes: DataFrame | None, keys: list[str], border: float = 0.0, kinds: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """keys, pos, kind and the features of each box of a template page, and of the page itself (pos -1).
 
     pages: keys and an image; boxes: keys, pos, kind, xtl, ytl, xbr, ybr. A kind that isn't in `kinds` has no features. An
     alignment box without any keypoint is an error, as no page could ever be matched by it. Pages without boxes have their
-    own row alone; without a table of them nothing is joined, so no pixels are shuffled.
+    own row alone. Without a table of them, pages may hold their `listed_boxes`; then nothing is joined and no pixels are
+    shuffled. Pages with equal pixels and boxes are described once in a task.
     """
     kinds = kinds or KINDS
-    x = pages
-    if boxes is not None:
-        listed = boxes.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "kind", "xtl", "ytl", "xbr", "ybr"))).alias("__boxes"))
-        x = pages.join(listed, keys, "left")
+    x = pages if boxes is None else pages.drop("boxes").join(listed_boxes(boxes, keys), keys, "left")
+
+    def of_page(r: dict, boxes: list[tuple]) -> list[list]:
+        img, rows = as_array(r["height"], r["width"], r["channels"], r["data"]), []
+        for pos, kind, *box in boxes:
+            found = describe(prepare(img, box, kind), kinds.get(kind, ()))
+            if kind == "align" and not found["descriptors"]:
+                raise ValueError(f"no keypoints in the alignment box {pos} of {[r[k] for k in keys]}")
+            rows.append([pos, kind, *found.values()])
+        return [*rows, [-1, "page", *describe(prepare_page(img), kinds["page"], True, border).values()]]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        once, size = Once(), lambda rows: sum(8 * len(v) if isinstance(v, np.ndarray) else len(v) for row in rows for v in row if hasattr(v, "__len__"))
         for f in frames:
             rows = []
             for r in f.to_dict("records"):
-                img, own = as_array(r["height"], r["width"], r["channels"], r["data"]), [r[k] for k in keys]
-                for b in r["__boxes"] if r.get("__boxes") is not None else []:
-                    part = prepare(img, [b[c] for c in ("xtl", "ytl", "xbr", "ybr")], b["kind"])
-                    found = describe(part, kinds.get(b["kind"], ()))
-                    if b["kind"] == "align" and not found["descriptors"]:
-                        raise ValueError(f"no keypoints in the alignment box {b['pos']} of {own}")
-                    rows.append([*own, b["pos"], b["kind"], *found.values()])
-                rows.append([*own, -1, "page", *describe(prepare_page(img), kinds["page"], True, border).values()])
+                own, b = [r[k] for k in keys], r.get("boxes")
+                b = [tuple(x[c] for c in BOX) for x in b] if b is not None else []
+                found = once([r["data"], (r["height"], r["width"], r["channels"]), b], size, lambda: of_page(r, b))  # noqa: B023
+                rows += [[*own, *row] for row in found]
             yield pd.DataFrame(rows, columns=[*keys, "pos", "kind", *NAMES])
 
     schema = ", ".join([*(f"`{k}` {pages.schema[k].dataType.simpleString()}" for k in keys), "pos long, kind string", *COLUMNS.values()])
@@ -193,7 +229,7 @@ FOUND = "matched boolean, n_good long, reason string, shift_x double, shift_y do
 def keypoint_matches(pairs: DataFrame, keys: list[str], **how) -> DataFrame:
     """keys and what match_keypoints finds, for rows of points, descriptors and t_points, t_descriptors; `how` is its settings.
 
-    With decision="geometric" a pair is matched only if its homography takes a square to nearly one, else that's the reason.
+    Pairs of equal points and descriptors are matched once in a task. With decision="geometric" a pair is matched only if its homography takes a square to nearly one, else that's the reason.
     """
 
     def side(points, descriptors):
@@ -202,8 +238,13 @@ def keypoint_matches(pairs: DataFrame, keys: list[str], **how) -> DataFrame:
         return np.asarray(points, float).reshape(-1, 3), np.frombuffer(descriptors, np.uint8).reshape(-1, 32)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        once = Once()
         for f in frames:
-            found = [match_keypoints(side(r.points, r.descriptors), side(r.t_points, r.t_descriptors), **how) for r in f.itertuples()]
+            found = []
+            for row in zip(f["points"], f["descriptors"], f["t_points"], f["t_descriptors"], strict=True):
+                page, template = side(*row[:2]), side(*row[2:])
+                parts = [v for p, d in (page, template) for v in (np.ascontiguousarray(p).tobytes(), d.tobytes())]
+                found.append(once(parts, lambda x: 500, lambda: match_keypoints(page, template, **how)))  # noqa: B023
             names = [c.split()[0] for c in FOUND.split(", ")]
             yield pd.concat([f[keys].reset_index(drop=True), pd.DataFrame(found, columns=names)], axis=1)
 
